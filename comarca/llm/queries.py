@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, shards, token_counts, urls
+from . import bpe, mixing, quality, secret_scan, shards, simhash, token_counts, topk, urls
 from .common import table
 
 #: Rules of the URL query: verdict, host, path.
@@ -24,6 +24,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = topk.top_k(vectors, F.pmod("vec_id", F.lit(50)) == 0, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, urls.rule_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
@@ -41,20 +47,52 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(mixing.sizes(table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return grouped.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.scan(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_url_filters": op3_url_filters,
     "op4_sharding": op4_sharding,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_simhash": op9_simhash,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+  WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5""",
     "op3_url_filters": r"""
 WITH p AS (
   SELECT page_id,
