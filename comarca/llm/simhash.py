@@ -23,7 +23,7 @@ never the smallest id of a group that has others.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -262,15 +262,19 @@ def components(edges: DataFrame) -> DataFrame:
         mark = seen
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, seed: int = 42) -> DataFrame:
-    """(id, fp, component_id): fingerprint and smallest id of the group of every row."""
-    marked = durable(fingerprints(docs.select(id_col, text_col), text_col, n=n, seed=seed), "fingerprints")
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, seed: int = 42, extra: Sequence[str] = ()) -> DataFrame:
+    """(id, fp, component_id, group) and ``extra`` columns of every row.
+
+    ``component_id`` is the smallest id of the row's group, ``group`` the
+    smallest fingerprint in it (a group name that is never null).
+    """
+    marked = durable(fingerprints(docs.select(id_col, text_col, *extra), text_col, n=n, seed=seed), "fingerprints")
     nodes = durable(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "nodes")
     rooted = components(links(nodes)).withColumnRenamed("node", "fp")
-    linked = nodes.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    grouped = linked.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return marked.join(grouped, "fp").select(id_col, "fp", "component_id")
+    linked = nodes.join(rooted, "fp", "left").withColumn("group", F.coalesce("root", "fp"))
+    least = linked.groupBy("group").agg(F.min("least").alias("component_id"))
+    grouped = linked.select("fp", "group").join(least, "group")
+    return marked.join(grouped, "fp").select(id_col, "fp", "component_id", "group", *extra)
 
 
 def hex_of(fp: Column) -> Column:
