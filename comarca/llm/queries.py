@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, quality, secret_scan, shards, simhash, token_counts, topk, urls
+from . import bpe, mixing, quality, secret_scan, shards, simhash, suffixes, token_counts, topk, urls
 from .common import table
 
 #: Rules of the URL query: verdict, host, path.
@@ -47,6 +47,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove_repeats(docs, 200, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filters": op3_url_filters,
     "op4_sharding": op4_sharding,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
