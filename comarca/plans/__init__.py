@@ -1,5 +1,5 @@
-"""Assembled plans: geography, indicators, serving, batch runs."""
+"""Assembled plans: sources tidied, geography, indicators, serving, batch runs."""
 
-from . import batch, geo, indicators, serving
+from . import batch, bulletins, geo, indicators, population, providers, scorecards, serving
 
-__all__ = ["batch", "geo", "indicators", "serving"]
+__all__ = ["batch", "bulletins", "geo", "indicators", "population", "providers", "scorecards", "serving"]
