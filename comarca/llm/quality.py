@@ -69,16 +69,18 @@ def failing_line(line: Column) -> Column:
     """Punctuation, navigation and boilerplate rules for one line.
 
     A blank line does not fail.  Punctuation: under eight words and no mark at
-    the end.  Navigation: three or more menu separators with words between, at
+    the end, or three words and more with three symbols to every two words.
+    Navigation: three or more menu separators with words between, at
     least one to four words.  Boilerplate: under 30 words with a listed phrase.
     """
     line = F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     n_words = F.size(F.split(line, SPACE_CLASS))
     separators = F.length(F.regexp_replace(line, r"[^|»›•·]+", ""))
     bare = (n_words < 8) & ~line.rlike(_MARK_AT_END)
+    noisy = (n_words >= 3) & (2 * symbol_count(line) >= 3 * n_words)
     menu = (separators >= 3) & (n_words - separators <= 4 * separators) & line.rlike(rf"\p{{L}}[^|»›•·]*{_MENU}[^|»›•·]*\p{{L}}")
     furniture = (n_words < 30) & F.lower(line).rlike("|".join(BOILERPLATE))
-    return (line != "") & (bare | menu | furniture)
+    return (line != "") & (bare | noisy | menu | furniture)
 
 
 def clean_lines(text: Column) -> Column:

@@ -32,7 +32,9 @@ def test_lines(spark):
     clean = "Dies ist ein ganz normaler Satz mit vielen Wörtern, der etwas erzählt.\n" + " ".join(f"wort{i}" for i in range(30)) + "."
     menu = "\n".join(f"Home {i} | About {i} | Contact {i} | Help {i}" for i in range(30))
     page = "\n".join(f"Please accept cookies number {i}" for i in range(30)) + "\n" + "Only this one short sentence is real."
-    got = {r.id: r for r in rows(spark.createDataFrame([(1, clean), (2, menu), (3, page)], "id int, text string"))}
+    noise = " ".join(f"wort{i}***" for i in range(60)) + "."
+    got = {r.id: r for r in rows(spark.createDataFrame([(1, clean), (2, menu), (3, page), (4, noise)], "id int, text string"))}
+    assert not got[4].kept and not got[4].base_failed
     assert got[1].kept and got[1].cleaned == clean
     assert not got[2].kept and not got[3].kept
     assert got[3].cleaned == "Only this one short sentence is real."
