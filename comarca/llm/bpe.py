@@ -12,7 +12,8 @@ Texts are cut before single blanks, where the pattern always cuts, and the ids
 of such segments are cached in each Python worker up to a bound.
 
 Defined results: null and empty texts have no ids, and decode to no bytes.
-Repeated rows are encoded each; other columns pass through.
+Repeated rows are encoded each; other columns pass through, and those named as
+outputs give way to them.
 """
 
 from __future__ import annotations
@@ -251,9 +252,7 @@ def _pass(df: DataFrame, source: str, outputs: tuple[str, ...], rank_path: str,
     with open(rank_path, "rb") as file:
         data = file.read()
     shared, digest = df.sparkSession.sparkContext.broadcast(data), hashlib.sha256(data).hexdigest()
-    kept = [c for c in df.columns if c != source]
-    if clash := set(kept) & set(outputs):
-        raise ValueError(f"columns named as outputs: {sorted(clash)}")
+    kept = [c for c in df.columns if c != source and c not in outputs]
     schema = T.StructType([*df.select(*kept).schema.fields, *(T.StructField(o, OUTPUTS[o][0]) for o in outputs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

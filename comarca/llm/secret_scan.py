@@ -10,7 +10,8 @@ A text is scanned in one piece, on its own: no shuffle, and nothing kept
 between rows.
 
 Defined results: null and empty texts have no spans; repeated rows are scanned
-each; spans are in code points, end exclusive.
+each; spans are in code points, end exclusive; other columns pass through, and
+those named as outputs give way to them.
 """
 
 from __future__ import annotations
@@ -148,8 +149,8 @@ def scan(docs: DataFrame, text_col: str = "text", least_cost: float = 9.0, redac
 
     With ``redact`` the text stays, its spans replaced by their kinds.
     """
-    kept = [c for c in docs.columns if c != text_col]
     counts = [f"n_{kind}" for kind, *_ in BASE]
+    kept = [c for c in docs.columns if c not in (text_col, *counts, "base_sha256", "spans")]
     out = [*(T.StructField(c, T.LongType()) for c in counts), T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())]
     schema = T.StructType([*docs.select(*kept).schema.fields, *out, *([T.StructField(text_col, T.StringType())] if redact else [])])
 

@@ -64,7 +64,7 @@ def fingerprint(data: bytes, n: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "fp", n: int = 3, seed: int = 42) -> DataFrame:
     """``docs`` with a fingerprint (long) instead of the text."""
-    kept = [c for c in docs.columns if c != text_col]
+    kept = [c for c in docs.columns if c not in (text_col, out_col)]
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(out_col, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,8 +12,8 @@ most (chosen by hash) and holds ``entries`` pre-tokens at most, so its size is
 bounded whatever the corpus; results do not depend on it.
 
 Defined results: a null or empty text has 0 tokens; repeated rows are counted
-each; other columns pass through, and a clash with an output name is an error
-the caller sees at analysis.  Very long pre-tokens are encoded, not cached.
+each; other columns pass through, and one named as the output gives way to it.
+Very long pre-tokens are encoded, not cached.
 """
 
 from __future__ import annotations
@@ -130,7 +130,7 @@ def token_counts(
         serialized = file.read()
     table = frequent_lengths(docs, text_col, load_tokenizer(serialized), sample_rows, entries)
     shared, key = spark.sparkContext.broadcast((serialized, table)), uuid.uuid4().hex
-    kept = [c for c in docs.columns if c != text_col]
+    kept = [c for c in docs.columns if c not in (text_col, out_col)]
     schema = docs.select(*kept).withColumn(out_col, F.lit(0).cast("long")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

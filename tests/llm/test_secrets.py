@@ -47,3 +47,10 @@ def test_rows(odd_docs):
     got = secret_scan.scan(odd_docs).collect()
     assert len(got) == odd_docs.count()
     assert secret_scan.scan(odd_docs.where("false")).count() == 0
+
+
+def test_clash(odd_docs):
+    from pyspark.sql import functions as F
+
+    got = secret_scan.scan(odd_docs.withColumns({"spans": F.lit(1), "n_hex": F.lit("x")}))
+    assert dict(got.dtypes)["spans"] == "string" and got.count() == odd_docs.count()

@@ -42,3 +42,10 @@ def test_sizes_slots_and_reruns(spark, docs, odd_docs):
 
 def test_empty(docs):
     assert shards.shuffle_into_shards(docs.where("false"), 16).count() == 0
+
+
+def test_clashing_columns(docs):
+    from pyspark.sql import functions as F
+
+    got = shards.shuffle_into_shards(docs.withColumns({"shard": F.lit("x"), "slot": F.lit(1.5)}), 4)
+    assert dict(got.dtypes)["shard"] == "int" and got.count() == docs.count()

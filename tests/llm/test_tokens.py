@@ -54,8 +54,10 @@ def test_decode_takes_stored_ids(odd_docs):
 
 def test_empty_table_and_clash(odd_docs):
     assert bpe.encode(odd_docs.where("false").select("doc_id", "text"), RANKS, P.PATTERN).count() == 0
-    with pytest.raises(ValueError):
-        bpe.encode(odd_docs.withColumn("ids", F.lit(1)), RANKS, P.PATTERN)
+    clash = odd_docs.withColumns({"ids": F.lit(1), "n_tokens": F.lit("x")})
+    assert dict(bpe.encode(clash, RANKS, P.PATTERN).dtypes)["ids"] == "binary"
+    assert bpe.encode(clash, RANKS, P.PATTERN).count() == odd_docs.count()
+    assert dict(token_counts.token_counts(clash, P.path("word_bpe_49k.json")).dtypes)["n_tokens"] == "bigint"
 
 
 def test_rows_longer_than_the_matrices(library):

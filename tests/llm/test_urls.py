@@ -32,3 +32,9 @@ def test_no_rules_and_no_pages(spark):
     pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
     assert {r.verdict for r in urls.judge(pages, urls.rule_table(spark, queries.URL_RULES[:1]).where("false")).collect()} == {"allow"}
     assert urls.judge(pages.where("false"), urls.rule_table(spark, queries.URL_RULES)).count() == 0
+
+
+def test_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "http://example.org/en/1", "x", 3)], "page_id long, url string, host string, verdict int")
+    got = urls.judge(pages, urls.rule_table(spark, queries.URL_RULES)).first()
+    assert (got.host, got.verdict) == ("example.org", "block")
