@@ -529,6 +529,70 @@ def midpoint_columns(spark, sf):
     return _t(spark, sf, "orders").select("o_orderkey", joins.midpoint_band(F.col("o_totalprice") / 50, starts).alias("place"))
 
 
+# -- more of joins, filters and order -----------------------------------------
+
+@query("""
+SELECT c_custkey, s_suppkey FROM customer LEFT JOIN (SELECT s_nationkey, min(s_suppkey) AS s_suppkey FROM supplier GROUP BY 1) ON c_nationkey = s_nationkey""")
+def first_writer_lookup(spark, sf):
+    once = joins.first_per_key(_t(spark, sf, "supplier").withColumnRenamed("s_nationkey", "c_nationkey"), ["c_nationkey"], "s_suppkey")
+    return _t(spark, sf, "customer").join(once, "c_nationkey", "left").select("c_custkey", "s_suppkey")
+
+
+@query("""
+SELECT count(k) AS matched, count(*) AS total, 100.0 * count(k) / count(*) AS pct
+FROM orders LEFT JOIN (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_acctbal > 0) ON o_custkey = k WHERE o_custkey IS NOT NULL""")
+def match_rate(spark, sf):
+    known = _t(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k")).distinct()
+    met = _t(spark, sf, "orders").join(known, F.col("o_custkey") == F.col("k"), "left")
+    return aggregate.match_rate(met, "o_custkey", "k").select("matched", "total", F.col("pct").cast("double").alias("pct"))
+
+
+@query("SELECT p_partkey FROM part WHERE coalesce(p_type ILIKE '%brass%', false) OR p_size = 1")
+def contains_or_code(spark, sf):
+    return _t(spark, sf, "part").where(text.contains_or_code(F.col("p_type"), "brass", F.col("p_size"), 1)).select("p_partkey")
+
+
+@query("""
+SELECT o_orderkey, CASE round_even(x, 0) WHEN 1 THEN 'Bajo' WHEN 2 THEN 'En proceso' WHEN 3 THEN 'Satisfactorio' WHEN 4 THEN 'Optimo' ELSE 'N/D' END AS label
+FROM (SELECT o_orderkey, o_totalprice / 50000 AS x FROM orders)""")
+def unclamped_label(spark, sf):
+    return _t(spark, sf, "orders").select("o_orderkey", numbers.score_label(F.col("o_totalprice") / 50000, clamp=False).alias("label"))
+
+
+@query("""
+SELECT o_orderkey, row_number() OVER (ORDER BY CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_totalprice END DESC NULLS LAST, o_orderkey) AS place FROM orders QUALIFY place <= 50""")
+def descending_missing_last(spark, sf):
+    priced = _t(spark, sf, "orders").withColumn("v", F.when(F.col("o_orderstatus") == "F", float("nan")).otherwise(F.col("o_totalprice")))
+    best = ordering.descending(priced, "v", "o_orderkey").limit(50)
+    value = F.when(~F.isnan("v"), F.col("v"))
+    return best.select("o_orderkey", F.row_number().over(Window.orderBy(value.desc_nulls_last(), "o_orderkey")).cast("bigint").alias("place"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)")
+def latest_snapshot(spark, sf):
+    stamped = _t(spark, sf, "orders").withColumn("snapshot", F.year("o_orderdate").cast("string"))
+    return files.latest_snapshot(stamped).select("o_orderkey", "o_totalprice")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 3 <> 0")
+def blank_rows_dropped(spark, sf):
+    keep = F.col("o_orderkey") % 3 != 0
+    return reshape.drop_blank_rows(_t(spark, sf, "orders").select(F.when(keep, F.col("o_orderkey")).alias("o_orderkey"), F.when(keep, F.col("o_custkey")).alias("o_custkey")))
+
+
+@query("""
+SELECT n_nationkey, CASE WHEN n_nationkey = n_regionkey THEN [1.0, 2.0] ELSE [1.0, 2.0, CAST(n_nationkey AS DOUBLE)] END::VARCHAR AS peers FROM nation""")
+def peer_vector(spark, sf):
+    vector = numbers.peers(F.lit(1.0), F.lit(2.0), F.col("n_nationkey").cast("double"), F.col("n_nationkey") == F.col("n_regionkey"))
+    return _t(spark, sf, "nation").select("n_nationkey", F.concat(F.lit("["), F.array_join(F.transform(vector, lambda v: v.cast("string")), ", "), F.lit("]")).alias("peers"))
+
+
+@query("SELECT conv_id, min(turn) AS turn FROM conversations WHERE lower(trim(role)) LIKE 'assist%' GROUP BY conv_id")
+def header_match(spark, sf):
+    rows = _t(spark, sf, "conversations").withColumn("cells", F.array("role"))
+    return rows.where(tables.header_matches(F.col("cells"), ["Assist"])).groupBy("conv_id").agg(F.min("turn").alias("turn"))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """The shape of the region table: a star of aggregates with the latest-row rollup."""
     rolled = two_level_rollup(spark, sf).withColumnRenamed("c_nationkey", "n_nationkey")
