@@ -7,7 +7,7 @@ induced come from range minima over those of the suffixes they come from.
 Suffixes that share their first ``length`` bytes stand next to each other.
 
 Shards hold only text that could repeat.  Every ``length``-byte string is
-named by the least hash of its 16-byte grams, equal strings by equal names, and
+named by the least hash of its grams, equal strings by equal names, and
 the consecutive starts of one name make a window of text.  Windows meet by
 name; those with a twin of equal content are covered whole, without sorting,
 and one of them goes to the shard with every other window of that name.  Twins
@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import durable
 
-GRAM = 16
+LONGEST_GRAM = 48
 SHARD_BYTES = 4 << 20
 QUEUE_BYTES = 128 << 20
 _SENTINEL, _SEPARATOR, _SHIFT = 0, 1, 2  # UTF-8 has no byte above 0xF4
@@ -52,11 +52,17 @@ _MOST = 255
 
 # -- windows of equal names ---------------------------------------------------
 
-def _gram_hashes(data: np.ndarray) -> np.ndarray:
+def gram_of(length: int) -> int:
+    """Bytes of the grams that name strings of a length."""
+    return max(8, min(LONGEST_GRAM, length // 4))
+
+
+def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of each gram, from its first and last eight bytes."""
     words = np.lib.stride_tricks.sliding_window_view(data, 8)
     words = np.ascontiguousarray(words).view("<u8").ravel()
-    h = words[: len(data) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
-    h ^= (words[GRAM - 8 : len(data) - 7] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(7)
+    h = words[: len(data) - gram + 1] * np.uint64(0x9E3779B97F4A7C15)
+    h ^= (words[gram - 8 : len(data) - 7] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(7)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
@@ -64,8 +70,9 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
 
 def windows(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(name, first start, end of starts, repeats its gram) of each window of a text."""
-    grams = length - GRAM + 1
-    h = _gram_hashes(np.frombuffer(data, np.uint8))
+    gram = gram_of(length)
+    grams = length - gram + 1
+    h = _gram_hashes(np.frombuffer(data, np.uint8), gram)
     n_starts = len(data) - length + 1
     blocks = np.pad(h, (0, -len(h) % grams), constant_values=2**64 - 1).reshape(-1, grams)
     before = np.minimum.accumulate(blocks, 1).ravel()
@@ -169,24 +176,26 @@ def _meet(found: DataFrame) -> DataFrame:
 class BucketQueue:
     """A first-in first-out queue of (suffix, common prefix) for each leading byte.
 
-    Beyond ``most`` bytes the tuples of a bucket go to a nameless scratch file.
-    A bucket can be read on from where a reader was, or backward as a whole.
+    What comes in for a bucket waits; a reader gets all of it as one chunk, and
+    chunks that were read can be read again backward.  Beyond ``most`` bytes
+    everything held goes to a nameless scratch file.
     """
 
     def __init__(self, most: int = QUEUE_BYTES):
-        self.chunks: list[list] = [[] for _ in range(256)]
-        self.seen, self.held, self.most = [0] * 256, 0, most
+        self.waiting: list[list] = [[] for _ in range(256)]
+        self.read: list[list] = [[] for _ in range(256)]
+        self.held, self.most = 0, most
         self.file, self.at = None, 0
 
     def push(self, byte: int, suffixes: np.ndarray, common: np.ndarray) -> None:
-        self.chunks[byte].append((suffixes, common))
+        self.waiting[byte].append((suffixes, common))
         self.held += suffixes.nbytes + common.nbytes
         if self.held > self.most:
             self._spill()
 
     def _spill(self) -> None:
         self.file = self.file or tempfile.TemporaryFile()
-        for chunks in self.chunks:
+        for chunks in itertools.chain(self.waiting, self.read):
             for i, chunk in enumerate(chunks):
                 if isinstance(chunk[0], np.ndarray):
                     self.file.seek(self.at)
@@ -205,13 +214,17 @@ class BucketQueue:
         return np.fromfile(self.file, kind, n), np.fromfile(self.file, np.uint8, n)
 
     def unread(self, byte: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Chunks not read yet, those that come in meanwhile included."""
-        while self.seen[byte] < len(self.chunks[byte]):
-            self.seen[byte] += 1
-            yield self._load(self.chunks[byte][self.seen[byte] - 1])
+        """What waits in a bucket, and then what came in meanwhile."""
+        while self.waiting[byte]:
+            chunks, self.waiting[byte] = self.waiting[byte], []
+            loaded = [self._load(c) for c in chunks]
+            chunk = loaded[0] if len(loaded) == 1 else tuple(map(np.concatenate, zip(*loaded)))
+            self.held += sum(a.nbytes + b.nbytes for (a, b), c in zip(loaded, chunks) if a is not c[0])
+            self.read[byte].append(chunk)
+            yield chunk
 
     def backward(self, byte: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for chunk in reversed(self.chunks[byte]):
+        for chunk in reversed(self.read[byte]):
             yield self._load(chunk)
 
 
@@ -328,18 +341,23 @@ def _equal_neighbours(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray)
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """Prefix that each suffix has in common with the one before it, ``most`` at most."""
-    out = np.zeros(len(order), np.uint8)
-    at, step, n = np.arange(1, len(order)), 0, len(text)
+    """Prefix that each suffix has in common with the one before it, ``most`` (255 at most) at most.
+
+    Eight bytes at a time; past the end the text goes on with zeros, which no
+    suffix but the last holds.
+    """
+    words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(np.pad(text, (0, most + 16)), 8)).view("<u8").ravel()
+    out = np.zeros(len(order), np.int64)
+    at, step = np.arange(1, len(order)), 0
     while len(at) and step < most:
-        a, b = order[at] + step, order[at - 1] + step
-        inside = (a < n) & (b < n)
-        at, a, b = at[inside], a[inside], b[inside]
-        equal = text[a] == text[b]
-        at = at[equal]
-        step += 1
-        out[at] = step
-    return out
+        differ = words[order[at] + step] ^ words[order[at - 1] + step]
+        ended = np.flatnonzero(differ)
+        low = differ[ended] & (~differ[ended] + np.uint64(1))
+        out[at[ended]] = step + (np.frexp(low.astype(np.float64))[1] - 1) // 8
+        at = at[differ == 0]
+        step += 8
+    out[at] = most
+    return np.minimum(out, most).astype(np.uint8)
 
 
 def _doubled_order(names: np.ndarray, most: int) -> np.ndarray:
@@ -485,8 +503,8 @@ def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
 
 def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", outputs: tuple[str, ...] = ("n_bytes", "n_removed", "spans", "kept")) -> DataFrame:
     """Rows of (id, outputs): each text without the bytes that repeat."""
-    if not GRAM <= length < _MOST:
-        raise ValueError(f"length must be from {GRAM} to {_MOST - 1}")
+    if not 8 <= length < _MOST:
+        raise ValueError(f"length must be from 8 to {_MOST - 1}")
     keyed = docs.select(_row_key(id_col, text_col).alias("row"), F.coalesce(text_col, F.lit("")).alias("text"), F.col(id_col).alias("id"))
     spans = repeated_spans(keyed.select("row", "text"), length)
     schema = T.StructType([T.StructField(id_col, keyed.schema["id"].dataType), *(T.StructField(o, OUTPUTS[o][0]) for o in outputs)])
