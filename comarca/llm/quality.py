@@ -12,7 +12,8 @@ which some window repeats are sorted.  Within one text a hash collision of
 different windows is less likely than 1 in 10**8 even at 500,000 words.
 
 Defined results: a null or blank text has no words and fails the base rules;
-repeated rows are judged each; other columns pass through.
+repeated rows are judged each; other columns pass through, and those named as
+outputs give way to them.
 """
 
 from __future__ import annotations
@@ -73,14 +74,18 @@ def failing_line(line: Column) -> Column:
     Navigation: three or more menu separators with words between, at
     least one to four words.  Boilerplate: under 30 words with a listed phrase.
     """
-    line = F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    n_words = F.size(F.split(line, SPACE_CLASS))
-    separators = F.length(F.regexp_replace(line, r"[^|»›•·]+", ""))
-    bare = (n_words < 8) & ~line.rlike(_MARK_AT_END)
-    noisy = (n_words >= 3) & (2 * symbol_count(line) >= 3 * n_words)
-    menu = (separators >= 3) & (n_words - separators <= 4 * separators) & line.rlike(rf"\p{{L}}[^|»›•·]*{_MENU}[^|»›•·]*\p{{L}}")
-    furniture = (n_words < 30) & F.lower(line).rlike("|".join(BOILERPLATE))
-    return (line != "") & (bare | noisy | menu | furniture)
+    def judged(text: Column, n_words: Column) -> Column:
+        symbols = F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", ""))
+        separators = F.length(F.regexp_replace(text, r"[^|»›•·]+", ""))
+        bare = (n_words < 8) & ~text.rlike(_MARK_AT_END)
+        noisy = (n_words >= 3) & text.rlike(r"[#*$%&|<>]") & (2 * symbols >= 3 * n_words)
+        # the cheap tests come first: the last one is quadratic on a line without separators
+        menu = text.rlike(_MENU) & (separators >= 3) & (n_words - separators <= 4 * separators) & text.rlike(rf"\p{{L}}[^|»›•·]*{_MENU}[^|»›•·]*\p{{L}}")
+        furniture = (n_words < 30) & F.lower(text).rlike("|".join(BOILERPLATE))
+        return (text != "") & (bare | noisy | menu | furniture)
+
+    trimmed = F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
+    return let(trimmed, lambda text: let(F.size(F.split(text, SPACE_CLASS)), lambda n_words: judged(text, n_words)))
 
 
 def clean_lines(text: Column) -> Column:
@@ -95,16 +100,18 @@ def judge(docs: DataFrame, text_col: str = "text", least_words: int = 20, most_r
     if ``keep_text``.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    out = docs.withColumn("_words", words(F.col(text_col)))
     found = F.col("_words")
-    out = out.withColumns({
+    counts = {
         "n_words": F.size(found).cast("long"),
         "word_chars": F.length(F.array_join(found, "")).cast("long"),
         "n_symbols": symbol_count(text),
         "n_dup_lines": duplicate_lines(text),
         "n_repeat_words": repeated_words(found),
         "cleaned": clean_lines(text),
-    })
+    }
+    worded = docs.drop(*counts, "base_failed", "lost_share", "kept").withColumn("_words", words(F.col(text_col)))
+    # a generator: filters on the verdict stay above it and compute nothing again
+    out = worded.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in counts.items())))))
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     lost = 1 - F.length(F.regexp_replace("cleaned", SPACE_CLASS, "")) / F.col("word_chars")
     out = out.withColumns({"base_failed": failed, "lost_share": F.when(F.col("word_chars") > 0, lost).otherwise(0.0)}).withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= most_lost))

@@ -48,3 +48,10 @@ def test_most_clean_prose_is_kept(docs):
 
 def test_empty(docs):
     assert quality.judge(docs.where("false")).count() == 0
+
+
+def test_clashing_columns(docs):
+    from pyspark.sql import functions as F
+
+    got = quality.judge(docs.withColumns({"kept": F.lit("x"), "n_words": F.lit(1.5)}))
+    assert dict(got.dtypes)["kept"] == "boolean" and got.count() == docs.count()
