@@ -13,7 +13,10 @@ name; those with a twin of equal content are covered whole, without sorting,
 and one of them goes to the shard with every other window of that name.  Twins
 inside a map batch are recognised there, so a passage that is in a third of
 all documents sends one row for each batch.  A name that occurs once needs no
-sorting unless its window repeats its own gram.
+sorting unless its window repeats its own gram.  A name with very many different
+windows (the edges of a passage that a large share of the documents holds) would
+fill one shard without end; its strings are told apart by 128-bit digests, which
+any number of tasks can share.
 
 Two places differ from the textbook form.  The string of substring names is
 ranked by prefix doubling and not by further levels of induction: its alphabet
@@ -45,6 +48,8 @@ from .common import durable
 
 LONGEST_GRAM = 48
 SHARD_BYTES = 4 << 20
+HELD_WINDOWS = 1 << 20
+CROWDED = 1024
 QUEUE_BYTES = 128 << 20
 _SENTINEL, _SEPARATOR, _SHIFT = 0, 1, 2  # UTF-8 has no byte above 0xF4
 _MOST = 255
@@ -133,9 +138,13 @@ def _windows(keyed: DataFrame, length: int) -> DataFrame:
 
 
 def _meet(found: DataFrame) -> DataFrame:
-    """Rows (row, first, ends, name, sort, covered): windows to sort or known to be covered."""
+    """Rows (row, first, ends, name, sort, covered): windows to sort or known to be covered.
 
-    def judge(cols: list[np.ndarray]) -> pa.RecordBatch:
+    A name is judged whole, up to ``HELD_WINDOWS``; a longer run goes on in
+    parts cut between contents, as a name that has several.
+    """
+
+    def judge(cols: list[np.ndarray], many: set[int]) -> pa.RecordBatch:
         name, content, row, first, ends, copies, own = cols
         local = copies == 0
         out = [(row[local], first[local], ends[local], name[local], np.zeros(local.sum(), bool), np.ones(local.sum(), bool))]
@@ -147,14 +156,15 @@ def _meet(found: DataFrame) -> DataFrame:
             total = np.bincount(group, copies)[group]
             variants = np.bincount(np.cumsum(new_name) - 1, new)[np.cumsum(new_name) - 1]
             covered = (total > 1) & (copies == 1)
-            sort = new & ((variants > 1) | own)
+            several = (variants > 1) | np.isin(name, list(many))
+            sort = new & (several | own)
             keep = covered | sort
             out.append((row[keep], first[keep], ends[keep], name[keep], sort[keep], covered[keep] | (total > 1)[keep]))
         row, first, ends, name, sort, covered = map(np.concatenate, zip(*out))
         return pa.RecordBatch.from_arrays([pa.array(row), pa.array(first), pa.array(ends), pa.array(name), pa.array(sort), pa.array(covered)], ["row", "first", "ends", "name", "sort", "covered"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, many = None, set()
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
                 cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
@@ -163,8 +173,13 @@ def _meet(found: DataFrame) -> DataFrame:
                 continue
             # a name's run may go on in the next batch
             end = len(held[0]) if batch is None else int(np.searchsorted(held[0], held[0][-1]))
+            part = set()
+            if not end and len(held[0]) > HELD_WINDOWS:
+                end = int(np.searchsorted(held[1], held[1][-1]))
+                part = {int(held[0][-1])} if end else set()
             if end:
-                yield judge([c[:end] for c in held])
+                yield judge([c[:end] for c in held], many | part)
+                many = part or many & {int(held[0][end])} if end < len(held[0]) else set()
                 held = [c[end:] for c in held]
 
     dealt = found.repartition("part").sortWithinPartitions("name", "content").select("name", "content", "row", "first", "ends", "copies", "own")
@@ -431,17 +446,36 @@ def _row_key(id_col: str, text_col: str) -> Column:
 
 
 def _cut_windows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(row, first, name, covered, text): the text of the windows to sort."""
+    """Windows to sort as (row, first, name, covered, text); of crowded names
+    each start as (row, first, key, key2), two digests of its string."""
+    kinds = {"row": pa.int64(), "first": pa.int64(), "name": pa.int64(), "covered": pa.bool_(), "text": pa.binary(), "key": pa.int64(), "key2": pa.int64()}
+
+    def pieces(row: int, data: bytes, span: dict) -> Iterator[tuple]:
+        if not span["crowded"]:
+            yield row, span["first"], span["name"], span["covered"], data[span["first"] : span["ends"] + length - 1], None, None
+            return
+        for at in range(span["first"], span["ends"]):
+            digest = xxhash.xxh3_128_digest(data[at : at + length])
+            yield row, at, None, span["covered"], None, *np.frombuffer(digest, "<i8").tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, spans in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
-                cols = zip(*((row, s["first"], s["name"], s["covered"], data[s["first"] : s["ends"] + length - 1]) for s in spans))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["row", "first", "name", "covered", "text"])
+                cols = zip(*(p for s in spans for p in pieces(row, data, s)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds.values())], list(kinds))
+
+    asked = wanted.groupBy("row").agg(F.collect_set(F.struct("first", "ends", "name", "covered", "crowded")).alias("spans"))
+    return docs.join(asked, "row").select("row", "text", "spans").mapInArrow(run, "row long, first long, name long, covered boolean, text binary, key long, key2 long")
 
-    asked = wanted.groupBy("row").agg(F.collect_set(F.struct("first", "ends", "name", "covered")).alias("spans"))
-    return docs.join(asked, "row").select("row", "text", "spans").mapInArrow(run, "row long, first long, name long, covered boolean, text binary")
+
+def _crowded_spans(starts: DataFrame, length: int) -> DataFrame:
+    """(row, a, b) of the strings of crowded names that start twice or more.
+
+    Counts combine before the shuffle, so neither a crowded name nor a very
+    common string meets in one task.
+    """
+    shared = starts.groupBy("key", "key2").count().where("count > 1").select("key", "key2")
+    return starts.where("NOT covered").join(shared, ["key", "key2"]).select("row", F.col("first").alias("a"), (F.col("first") + length).alias("b"))
 
 
 def _sorted_spans(cut: DataFrame, length: int, shards: int) -> DataFrame:
@@ -469,14 +503,23 @@ def _sorted_spans(cut: DataFrame, length: int, shards: int) -> DataFrame:
     return cut.repartition(shards, "name").select("row", "first", "covered", "text").mapInArrow(run, "row long, a long, b long")
 
 
-def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
-    """(row, spans): byte spans of (row, text) covered by a string that also starts elsewhere."""
+def repeated_spans(docs: DataFrame, length: int = 200, crowded: int = CROWDED) -> DataFrame:
+    """(row, spans): byte spans of (row, text) covered by a string that also starts elsewhere.
+
+    Names with over ``crowded`` different windows are not sorted in one shard:
+    their strings are told apart by 128-bit digests.
+    """
     met = durable(_meet(_windows(docs, length)), "windows")
     wanted = met.where("sort")
-    size = wanted.agg(F.sum(F.col("ends") - F.col("first") + length)).first()[0] or 0
-    found = _sorted_spans(_cut_windows(docs, wanted, length), length, max(1, -(-size // SHARD_BYTES)))
+    names = wanted.groupBy("name").count().where(F.col("count") > crowded).select("name", F.lit(True).alias("crowded"))
+    wanted = wanted.join(names, "name", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    cut = durable(_cut_windows(docs, wanted, length), "cut-windows")
+    pieces = cut.where("text IS NOT NULL")
+    size = pieces.agg(F.sum(F.length("text"))).first()[0] or 0
+    found = _sorted_spans(pieces, length, max(1, -(-size // SHARD_BYTES)))
     whole = met.where("covered").select("row", F.col("first").alias("a"), (F.col("ends") + length - 1).alias("b"))
-    return whole.unionByName(found).groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    every = whole.unionByName(found).unionByName(_crowded_spans(cut.where("key IS NOT NULL"), length))
+    return every.groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
 #: What can be returned for each row, from its bytes and merged spans.
@@ -501,12 +544,12 @@ def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", outputs: tuple[str, ...] = ("n_bytes", "n_removed", "spans", "kept")) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", outputs: tuple[str, ...] = ("n_bytes", "n_removed", "spans", "kept"), crowded: int = CROWDED) -> DataFrame:
     """Rows of (id, outputs): each text without the bytes that repeat."""
     if not 8 <= length < _MOST:
         raise ValueError(f"length must be from 8 to {_MOST - 1}")
     keyed = docs.select(_row_key(id_col, text_col).alias("row"), F.coalesce(text_col, F.lit("")).alias("text"), F.col(id_col).alias("id"))
-    spans = repeated_spans(keyed.select("row", "text"), length)
+    spans = repeated_spans(keyed.select("row", "text"), length, crowded)
     schema = T.StructType([T.StructField(id_col, keyed.schema["id"].dataType), *(T.StructField(o, OUTPUTS[o][0]) for o in outputs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,10 +38,10 @@ def test_suffix_order_and_common_prefixes(letters, n, most):
         assert min(shared, cap) == true
 
 
-def check(df, length=200):
+def check(df, length=200, **options):
     rows = df.select("doc_id", "text").collect()
     want = sorted((str(r.doc_id), *w) for r, w in zip(rows, brute([r.text for r in rows], length)))
-    got = suffixes.remove_repeats(df, length, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256")).collect()
+    got = suffixes.remove_repeats(df, length, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"), **options).collect()
     assert sorted((str(r.doc_id), r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
 
 
@@ -49,6 +49,11 @@ def test_documents(docs):
     check(docs)
 
 
+def test_crowded_names(docs, odd_docs):
+    check(docs, crowded=2)
+    check(odd_docs, crowded=0)
+
+
 def test_odd_rows(odd_docs):
     check(odd_docs)
     check(odd_docs, 33)
@@ -70,3 +75,23 @@ def test_passages_at_every_offset(spark):
 
 def test_empty(docs):
     assert suffixes.remove_repeats(docs.where("false")).count() == 0
+
+
+def test_long_runs_of_one_name_are_judged_in_parts(spark, monkeypatch):
+    session_batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rng = random.Random(10)
+        passage = "".join(rng.choice("abcdefghij ") for _ in range(230))
+        texts = ["".join(rng.choice("klmnop ") for _ in range(50)) + passage + "".join(rng.choice("klm") for _ in range(50)) for _ in range(60)]
+        df = spark.createDataFrame(list(enumerate(texts + texts[:9])), "doc_id long, text string")
+        keyed = df.select(suffixes._row_key("doc_id", "text").alias("row"), "text")
+
+        def meet(limit):
+            monkeypatch.setattr(suffixes, "HELD_WINDOWS", limit)
+            return sorted(map(tuple, suffixes._meet(suffixes._windows(keyed, 200)).select("row", "first", "ends", "sort", "covered").collect()))
+
+        assert meet(0) == meet(1 << 20)
+        check(df)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", session_batch)
