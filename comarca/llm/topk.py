@@ -136,7 +136,7 @@ def _blocks(rows: DataFrame, n: int, name: str) -> DataFrame:
     return rows.withColumn(name, F.pmod(F.xxhash64("id", "vector"), F.lit(n)).cast("int"))
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0, candidate_rows: int = 16384, query_rows: int = 512) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0, candidate_rows: int = 65536, query_rows: int = 256) -> DataFrame:
     """(query_id, rank, id, score): the ``k`` best candidates of every query row.
 
     ``candidate_rows`` and ``query_rows`` are the mean rows of a block; the
