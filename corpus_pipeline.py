@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from comarca.llm import bpe, mixing, quality, secret_scan, simhash
+from comarca.llm import bpe, mixing, near_copies, quality, secret_scan
 from comarca.llm.common import durable, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -30,9 +30,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest id."""
+    """One document of each group of near copies stays: the one with the smallest id."""
     keyed = docs.withColumns(_row_keys())
-    grouped = simhash.near_duplicates(keyed, extra=["_k", "_l"])
+    grouped = near_copies.near_copies(keyed, ("_k", "_l"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_k", "_l"))
     stays = grouped.groupBy("group").agg(first.alias("f")).select("f._k", "f._l")
     return keyed.join(stays, ["_k", "_l"], "left_semi").dropDuplicates(["_k", "_l"]).select(*COLUMNS)
