@@ -2,7 +2,7 @@
 
 Base patterns find assigned credentials, access keys and long hex runs.
 Method: password guess-cost dynamic programming.  Values in a credential
-context that no base span covers are cut into words, dates, repeats, keyboard
+context that no base span covers whole are cut into words, dates, repeats, keyboard
 walks and brute-force spans at the least total cost; a value whose cheapest
 cut still takes 10**``least_cost`` guesses or more is a secret too.
 
@@ -67,6 +67,10 @@ def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
     plain = lower.translate(_LEET)
     per_char = math.log10(max(10, _alphabet(value)))
     best = [0.0] + [math.inf] * n
+    same = {unit: [0] * (n + 1) for unit in (1, 2, 3, 4)}  # how far the value repeats itself, ``unit`` characters on
+    for unit, length in same.items():
+        for i in range(n - unit - 1, -1, -1):
+            length[i] = length[i + 1] + 1 if value[i] == value[i + unit] else 0
 
     def offer(i: int, j: int, cost: float) -> None:
         best[j] = min(best[j], best[i] + cost)
@@ -79,9 +83,7 @@ def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
                     offer(i, j, math.log10(ranks[text] + 1) + extra + (0.0 if value[i:j].islower() else 0.5))
         if m := _DATE.match(value, i):
             offer(i, m.end(), math.log10(365 * 120))
-        j = i + 1
-        while j < n and value[j] == value[i]:
-            j += 1
+        j = i + 1 + same[1][i]
         if j - i >= 3:
             offer(i, j, per_char + math.log10(j - i))
         for walk in _WALKS:
@@ -91,9 +93,7 @@ def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
             if k >= 3:
                 offer(i, i + k, math.log10(len(_WALKS) * 10) + math.log10(k))
         for unit in (2, 3, 4):  # a repeated unit costs its first copy and a count
-            copies = 1
-            while value[i : i + unit] == value[i + copies * unit : i + (copies + 1) * unit] and i + (copies + 1) * unit <= n:
-                copies += 1
+            copies = 1 + same[unit][i] // unit
             if copies >= 2:
                 offer(i, i + unit * copies, unit * per_char + math.log10(copies))
     return best[n]
@@ -111,7 +111,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def guessed_spans(text: str, base: list[tuple[str, int, int]], least_cost: float) -> list[tuple[str, int, int]]:
-    """Values in a credential context that are dear to guess and that no base span touches."""
+    """Values in a credential context that are dear to guess and that no base span covers whole."""
     low = text.lower()
     if not any(h in low for h in _HINTS):
         return []
@@ -122,7 +122,7 @@ def guessed_spans(text: str, base: list[tuple[str, int, int]], least_cost: float
             end -= 1
         value = text[start:end]
         classes = sum(bool(re.search(c, value)) for c in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^A-Za-z0-9]"))
-        if len(value) < 8 or classes < 2 or any(s < end and start < e for _, s, e in base):
+        if len(value) < 8 or classes < 2 or any(s <= start and end <= e for _, s, e in base):
             continue
         if guess_cost(value) >= least_cost:
             found.append((GUESS, start, end))

@@ -54,3 +54,16 @@ def test_clash(odd_docs):
 
     got = secret_scan.scan(odd_docs.withColumns({"spans": F.lit(1), "n_hex": F.lit("x")}))
     assert dict(got.dtypes)["spans"] == "string" and got.count() == odd_docs.count()
+
+
+def spans_of(text):
+    base = secret_scan.base_spans(text)
+    return base, [text[s:e] for _, s, e in secret_scan.guessed_spans(text, base, 9.0)]
+
+
+def test_symbol_after_the_sixth_character(spark):
+    text = "my password: Summer@2024#xyz for you"
+    assert spans_of(text) == ([("assign", 3, 19)], ["Summer@2024#xyz"])
+    assert spans_of("password: abcdefgh12.")[1] == []
+    row = secret_scan.scan(spark.createDataFrame([(text,)], "text string"), redact=True).first()
+    assert row.text == "my [assign] for you" and row.n_assign == 1
