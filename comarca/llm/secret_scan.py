@@ -121,8 +121,7 @@ def guessed_spans(text: str, base: list[tuple[str, int, int]], least_cost: float
         while end > start and text[end - 1] in ".)]}!?:":
             end -= 1
         value = text[start:end]
-        classes = sum(bool(re.search(c, value)) for c in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^A-Za-z0-9]"))
-        if len(value) < 8 or classes < 2 or any(s <= start and end <= e for _, s, e in base):
+        if len(value) < 8 or any(s <= start and end <= e for _, s, e in base):
             continue
         if guess_cost(value) >= least_cost:
             found.append((GUESS, start, end))

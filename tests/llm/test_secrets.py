@@ -67,3 +67,8 @@ def test_symbol_after_the_sixth_character(spark):
     assert spans_of("password: abcdefgh12.")[1] == []
     row = secret_scan.scan(spark.createDataFrame([(text,)], "text string"), redact=True).first()
     assert row.text == "my [assign] for you" and row.n_assign == 1
+
+
+def test_values_of_one_class():
+    for context, value in (("passphrase is ", "correcthorsebatterystaple"), ("pwd: ", "8391750264917"), ("bearer ", "qmzkvxwpltrbnsdj"), ("private key: ", "QWXZKVJPMRTL")):
+        assert spans_of(context + value)[1] == [value]
