@@ -16,11 +16,14 @@ those named as outputs give way to them.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import json
 import math
 import re
 from collections.abc import Iterator
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
@@ -39,7 +42,7 @@ _CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|secret)[\x20_-]?key|credentials?)["'\])]{0,2}(?:\x20{0,4}(?:[:=]{1,2}>?|->)|\x20is)\x20{0,4}["'`]?([^\s"'`,;<>]{8,})|bearer\x20([^\s"'`,;<>]{8,})""",
     re.I | re.A,
 )
-#: The commonest words and passwords, commonest first.
+#: The commonest passwords and their words, commonest first; the ranked list of :func:`word_ranks` follows.
 COMMON = (
     "password passw0rd pass secret token admin root user login welcome letmein monkey dragon master qwerty abc iloveyou "
     "princess sunshine shadow football baseball superman batman trustno1 hello freedom whatever test guest default "
@@ -47,11 +50,26 @@ COMMON = (
     "autumn monday friday january march april june july august october december mother father sister brother money "
     "computer internet google company office manager service support the and for you with this that from have not"
 ).split()
+#: Words of two letters; the list's own are mostly fragments.
+_SHORT = frozenset("am an as at be by do go he if in is it me my no of on or so to up us we".split())
+_JOINS = "-_./"
 _ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz", "0123456789")
 _WALKS = tuple(r for row in _ROWS for r in (row, row[::-1]))
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d")
 _LEET = str.maketrans("@4301$57!", "aaeoissti")
-_LONGEST_WORD = max(map(len, COMMON))
+
+
+@functools.cache
+def word_ranks() -> dict[str, int]:
+    """Guess ranks of words: ``COMMON``, then the whole words of the public word vocabulary, in its order of frequency.
+
+    Some 30,000 entries whatever the data.
+    """
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        vocab = json.load(file)["model"]["vocab"]
+    whole = (w[:-4] for w in sorted(vocab, key=vocab.get) if re.fullmatch(r"[a-z]{2,}</w>", w))
+    listed_ = dict.fromkeys([*COMMON, *(w for w in whole if len(w) > 2 or w in _SHORT)])
+    return {w: i + 1 for i, w in enumerate(listed_)}
 
 
 def _alphabet(value: str) -> int:
@@ -62,7 +80,8 @@ def _alphabet(value: str) -> int:
 
 def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
     """Log10 of the guesses for the cheapest cut of ``value``."""
-    ranks = ranks or {w: i + 1 for i, w in enumerate(COMMON)}
+    ranks = ranks or word_ranks()
+    longest = max(map(len, ranks))
     n, lower = len(value), value.lower()
     plain = lower.translate(_LEET)
     per_char = math.log10(max(10, _alphabet(value)))
@@ -77,7 +96,9 @@ def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
 
     for i in range(n):
         offer(i, i + 1, per_char)  # brute force, a character at a time
-        for j in range(i + 3, min(n, i + _LONGEST_WORD) + 1):
+        if value[i] in _JOINS and value[i - 1 : i].isalpha() and value[i + 1 : i + 2].isalpha():
+            offer(i, i + 1, math.log10(len(_JOINS) + 1))  # a hyphen or its like between words
+        for j in range(i + 2, min(n, i + longest) + 1):
             for text, extra in ((lower[i:j], 0.0), (plain[i:j], 0.5)):
                 if text in ranks:
                     offer(i, j, math.log10(ranks[text] + 1) + extra + (0.0 if value[i:j].islower() else 0.5))
@@ -110,7 +131,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], _ORDER[s[0]]))
 
 
-def guessed_spans(text: str, base: list[tuple[str, int, int]], least_cost: float) -> list[tuple[str, int, int]]:
+def guessed_spans(text: str, base: list[tuple[str, int, int]], least_cost: float, ranks: dict[str, int] | None = None) -> list[tuple[str, int, int]]:
     """Values in a credential context that are dear to guess and that no base span covers whole."""
     low = text.lower()
     if not any(h in low for h in _HINTS):
@@ -123,7 +144,7 @@ def guessed_spans(text: str, base: list[tuple[str, int, int]], least_cost: float
         value = text[start:end]
         if len(value) < 8 or any(s <= start and end <= e for _, s, e in base):
             continue
-        if guess_cost(value) >= least_cost:
+        if guess_cost(value, ranks) >= least_cost:
             found.append((GUESS, start, end))
     return found
 
@@ -153,9 +174,11 @@ def scan(docs: DataFrame, text_col: str = "text", least_cost: float = 9.0, redac
     out = [*(T.StructField(c, T.LongType()) for c in counts), T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())]
     schema = T.StructType([*docs.select(*kept).schema.fields, *out, *([T.StructField(text_col, T.StringType())] if redact else [])])
 
+    shared = docs.sparkSession.sparkContext.broadcast(word_ranks())
+
     def one(text: str) -> list:
         base = base_spans(text)
-        spans = sorted([*base, *guessed_spans(text, base, least_cost)], key=lambda s: (s[1], _ORDER[s[0]]))
+        spans = sorted([*base, *guessed_spans(text, base, least_cost, shared.value)], key=lambda s: (s[1], _ORDER[s[0]]))
         row = [*(sum(k == kind for k, *_ in base) for kind, *_ in BASE), hashlib.sha256(listed(base).encode()).hexdigest(), listed(spans)]
         return [*row, redacted(text, spans)] if redact else row
 

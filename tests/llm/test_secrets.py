@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 from comarca.llm import secret_scan
 
@@ -72,3 +73,16 @@ def test_symbol_after_the_sixth_character(spark):
 def test_values_of_one_class():
     for context, value in (("passphrase is ", "correcthorsebatterystaple"), ("pwd: ", "8391750264917"), ("bearer ", "qmzkvxwpltrbnsdj"), ("private key: ", "QWXZKVJPMRTL")):
         assert spans_of(context + value)[1] == [value]
+
+
+def test_plain_and_hyphenated_words_stay(spark):
+    texts = [
+        "your password is case-sensitive", "the secret is Persistence", "The token is authentication", "Password: required-field", "the passphrase is everything.",
+        "the secret is Collaboration!", "credentials: documentation", "a token is up-to-date", "the secret is consistency.", "token is well-known",
+    ]
+    for text in texts:
+        assert spans_of(text)[1] == []
+    kept = [t for t in texts if not secret_scan.base_spans(t)]
+    got = secret_scan.scan(spark.createDataFrame([(t,) for t in kept], "text string"), redact=True).collect()
+    assert Counter(r.text for r in got) == Counter(kept)
+    assert len(secret_scan.word_ranks()) < 40_000
