@@ -45,9 +45,11 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it."""
-    keyed = docs.withColumns({"_k": F.xxhash64("doc_id", "text")})
-    mixed = mixing.mix(mixing.sizes(keyed, id_col="_k"), id_col="_k").where("copies > 0").select("_k", "copies")
-    return keyed.join(mixed, "_k").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+    whole = [*COLUMNS, *(F.col(c).isNull() for c in COLUMNS)]
+    keyed = docs.withColumn("_k", F.concat(F.hex(F.xxhash64(*whole)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *whole))))
+    mixed = mixing.mix(mixing.sizes(keyed, id_col="_k"), id_col="_k").groupBy("_k").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    rows = keyed.dropDuplicates(["_k"]).join(mixed, "_k")  # rows that repeat share a key and the sum of their copies
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
