@@ -8,9 +8,14 @@ codewords of 24 values' single bits.  Texts that meet in a key are candidates;
 their shingle sets are compared, and only a similarity (Jaccard) of ``least``
 or more links them.
 
-Texts of one shingle set are one node before any key is made.  A run of a key
-pairs each node with its next ``WINDOW`` nodes, so runs of up to that many are
-paired wholly and a crowded one stays linear.
+Texts of one shingle set are one node before any key is made.  The nodes of a
+key are compared in rounds: about ``HUBS`` of them are hubs and meet all the
+others, what is alike becomes one component, and only keys whose other nodes
+are still of several components go on, with eight times the hubs, drawn
+outside the key's largest component.  No pair that meets in a key is given up
+but where both are of one component already, so groups are those that all such
+pairs would make; a crowded group of copies ends after a round or two, linear
+in its size.
 
 Defined results: a null, empty or blank text has no shingles and is alike with
 others of that kind only; a text shorter than a shingle is one shingle.
@@ -28,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .common import durable
 from .simhash import GolayKeys, components, shingles
 
-WINDOW = 32
+HUBS = 4
 #: Sketch values, bands, and what a band takes of the sketch.
 VALUES, BANDS, WHOLE, BITS = 128, 16, 2, 24
 _SLICE = 512
@@ -104,32 +109,33 @@ def marked(docs: DataFrame, text_col: str, n: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def run_pairs(key: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Pairs (two columns) of nodes at most ``WINDOW`` places apart in the runs of sorted keys."""
-    found = [np.empty((0, 2), np.int64)]
-    for step in range(1, WINDOW + 1):
-        left = np.flatnonzero(key[:-step] == key[step:])
-        if not len(left):
-            break
-        found.append(np.stack([node[left], node[left + step]], 1))
-    made = np.concatenate(found)
-    made.sort(axis=1)
-    return np.unique(made[made[:, 0] != made[:, 1]], axis=0)
+def _met(nodes: DataFrame) -> DataFrame:
+    """(key, node) of every key that two nodes and more have."""
+    keyed = nodes.select(F.explode("keys").alias("key"), "node")
+    shared = keyed.groupBy("key").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a < _b").select("key")
+    return keyed.join(durable(shared, "near-keys"), "key")
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b): distinct pairs of nodes that meet in a key."""
+def _round(members: DataFrame, hubs: int, turn: int) -> DataFrame | None:
+    """Members (key, node, comp) of the keys whose nodes are not of one component yet, ``hub`` told.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = node = np.empty(0, np.int64)
-        for batch in batches:
-            key, node = np.r_[key, batch.column(0).to_numpy()], np.r_[node, batch.column(1).to_numpy()]
-            made = run_pairs(key, node)
-            key, node = key[-WINDOW:], node[-WINDOW:]
-            yield pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], ["a", "b"])
+    Outside its largest component a key draws about ``hubs`` hubs, or takes
+    all where it has no more.
+    """
+    sizes = members.groupBy("key", "comp").count()
+    most = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("most"), (F.sum("count") - F.max("count")).alias("rest"))
+    open_ = durable(most.where("rest > 0"), "near-open")
+    if open_.isEmpty():
+        return None
+    drawn = F.pmod(F.xxhash64(F.lit(turn), "key", "node"), F.col("rest")) < hubs
+    return durable(members.join(open_, "key").select("key", "node", "comp", ((F.col("comp") != F.col("most")) & drawn).alias("hub")), "near-members")
 
-    keyed = nodes.select(F.explode("keys").alias("key"), "node")
-    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
+
+def candidates(opened: DataFrame) -> DataFrame:
+    """(a, b): distinct pairs of a key's hubs with its nodes of other components."""
+    hubs = opened.where("hub").select("key", F.col("node").alias("h"), F.col("comp").alias("hub_comp"))
+    met = hubs.join(opened, "key").where("comp != hub_comp AND (NOT hub OR h < node)")
+    return met.select(F.least("h", "node").alias("a"), F.greatest("h", "node").alias("b")).distinct()
 
 
 def _sets(texts: DataFrame, n: int) -> DataFrame:
@@ -150,14 +156,21 @@ def near_copies(docs: DataFrame, row_key: tuple[str, str], id_col: str = "doc_id
     """
     row_key = list(row_key)
     rows = durable(marked(docs.select(id_col, text_col, *row_key), text_col, n), "near-nodes")
-    nodes = rows.groupBy("node").agg(F.min(F.struct(*row_key, "keys")).alias("r")).select("node", "r.*")
-    pairs = durable(candidates(nodes), "near-pairs")
-    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(*row_key, F.col(text_col).alias("text")).join(nodes.drop("keys").join(met, "node", "left_semi"), row_key).dropDuplicates(["node"])
-    sets = durable(_sets(texts, n), "near-sets")
+    nodes = durable(rows.groupBy("node").agg(F.min(F.struct(*row_key, "keys")).alias("r")).select("node", "r.*"), "near-distinct")
+    met = durable(_met(nodes), "near-met")
+    texts = docs.select(*row_key, F.col(text_col).alias("text")).join(nodes.drop("keys").join(met.select("node").distinct(), "node", "left_semi"), row_key)
+    sets = durable(_sets(texts.dropDuplicates(["node"]), n), "near-sets")
     left, right = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"_{c}")) for c in "ab")
     both = F.size(F.array_intersect("_a", "_b"))
     alike = both * least[1] >= (F.size("_a") + F.size("_b") - both) * least[0]
-    links = pairs.join(left, "a").join(right, "b").where(alike).select("a", "b")
-    rooted = components(links).withColumnRenamed("node", "_node")
+    forest = durable(met.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false"), "near-links")
+    opened, turn = _round(met.withColumn("comp", F.col("node")), HUBS, 0), 0
+    while opened is not None:
+        pairs = durable(candidates(opened), "near-pairs")
+        links = pairs.join(left, "a").join(right, "b").where(alike).select("a", "b")
+        forest = components(forest.unionByName(links)).select(F.col("node").alias("a"), F.col("root").alias("b"))
+        rest, turn = opened.where("NOT hub").select("key", "node"), turn + 1
+        named = rest.join(forest, F.col("node") == F.col("a"), "left").select("key", "node", F.coalesce("b", "node").alias("comp"))
+        opened = _round(durable(named, "near-named"), HUBS * 8**turn, turn)
+    rooted = forest.withColumnsRenamed({"a": "_node", "b": "root"})
     return rows.drop("keys").join(rooted, F.col("node") == F.col("_node"), "left").select(id_col, *row_key, F.coalesce("root", "node").alias("group"))

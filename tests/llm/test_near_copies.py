@@ -67,8 +67,11 @@ def test_small_data(docs, odd_docs):
         assert stays(df) == brute_stay([(r.doc_id, r.text) for r in df.collect()])
 
 
-def test_run_pairs_across_window():
-    import numpy as np
-
-    key, node = np.array([1, 1, 1, 2, 2, 3]), np.array([5, 6, 7, 5, 9, 4])
-    assert near_copies.run_pairs(key, node).tolist() == [[5, 6], [5, 7], [5, 9], [6, 7]]
+def test_rounds_lose_no_pair_of_a_key(spark, monkeypatch):
+    """One hub a key and round: groups are still those of all pairs."""
+    monkeypatch.setattr(near_copies, "HUBS", 1)
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(500)}" for _ in range(200)]
+    texts = [edited(rng, words, rng.choice((1, 2, 3, 12, 14))) for _ in range(120)]
+    df = frame(spark, texts)
+    assert stays(df) == brute_stay(list(enumerate(texts)))
