@@ -13,7 +13,8 @@ different windows is less likely than 1 in 10**8 even at 500,000 words.
 
 Defined results: a null or blank text has no words and fails the base rules;
 repeated rows are judged each; other columns pass through, and those named as
-outputs give way to them.
+outputs give way to them.  Time is linear in a text but for the sort of its
+windows, also where a line or a word is very long.
 """
 
 from __future__ import annotations
@@ -66,6 +67,12 @@ def repeated_words(found: Column) -> Column:
     return F.when(F.size(found) > WINDOW, some).otherwise(0).cast("long")
 
 
+def lettered_neighbours(line: Column) -> Column:
+    """Whether a separator stands between two items with letters; linear in the line."""
+    lettered = F.transform(F.split(line, _MENU, -1), lambda item: item.rlike(r"\p{L}"))
+    return let(lettered, lambda ls: F.size(F.filter(ls, lambda has, i: has & F.coalesce(F.get(ls, i + 1), F.lit(False)))) > 0)
+
+
 def failing_line(line: Column) -> Column:
     """Punctuation, navigation and boilerplate rules for one line.
 
@@ -79,8 +86,7 @@ def failing_line(line: Column) -> Column:
         separators = F.length(F.regexp_replace(text, r"[^|»›•·]+", ""))
         bare = (n_words < 8) & ~text.rlike(_MARK_AT_END)
         noisy = (n_words >= 3) & text.rlike(r"[#*$%&|<>]") & (2 * symbols >= 3 * n_words)
-        # the cheap tests come first: the last one is quadratic on a line without separators
-        menu = text.rlike(_MENU) & (separators >= 3) & (n_words - separators <= 4 * separators) & text.rlike(rf"\p{{L}}[^|»›•·]*{_MENU}[^|»›•·]*\p{{L}}")
+        menu = text.rlike(_MENU) & (separators >= 3) & (n_words - separators <= 4 * separators) & lettered_neighbours(text)
         furniture = (n_words < 30) & F.lower(text).rlike("|".join(BOILERPLATE))
         return (text != "") & (bare | noisy | menu | furniture)
 
@@ -100,7 +106,10 @@ def judge(docs: DataFrame, text_col: str = "text", least_words: int = 20, most_r
     if ``keep_text``.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = F.col("_words")
+    found_col = "_words"
+    while found_col in docs.columns:
+        found_col += "_"
+    found = F.col(found_col)
     counts = {
         "n_words": F.size(found).cast("long"),
         "word_chars": F.length(F.array_join(found, "")).cast("long"),
@@ -109,10 +118,10 @@ def judge(docs: DataFrame, text_col: str = "text", least_words: int = 20, most_r
         "n_repeat_words": repeated_words(found),
         "cleaned": clean_lines(text),
     }
-    worded = docs.drop(*counts, "base_failed", "lost_share", "kept").withColumn("_words", words(F.col(text_col)))
+    worded = docs.drop(*counts, "base_failed", "lost_share", "kept").withColumn(found_col, words(F.col(text_col)))
     # a generator: filters on the verdict stay above it and compute nothing again
     out = worded.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in counts.items())))))
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     lost = 1 - F.length(F.regexp_replace("cleaned", SPACE_CLASS, "")) / F.col("word_chars")
     out = out.withColumns({"base_failed": failed, "lost_share": F.when(F.col("word_chars") > 0, lost).otherwise(0.0)}).withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= most_lost))
-    return out.drop("_words") if keep_text else out.drop("_words", "cleaned", text_col)
+    return out.drop(found_col) if keep_text else out.drop(found_col, "cleaned", text_col)

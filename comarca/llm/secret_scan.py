@@ -52,8 +52,10 @@ COMMON = (
 ).split()
 #: Words of two letters; the list's own are mostly fragments.
 _SHORT = frozenset("am an as at be by do go he if in is it me my no of on or so to up us we".split())
+#: Longer words are not looked up, so a place has a bounded number of spans.
+LONGEST_WORD = 20
 _JOINS = "-_./"
-_ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz", "0123456789")
+_ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz", "0123456789", "1qaz", "2wsx", "3edc", "4rfv", "5tgb", "6yhn", "7ujm")
 _WALKS = tuple(r for row in _ROWS for r in (row, row[::-1]))
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d")
 _LEET = str.maketrans("@4301$57!", "aaeoissti")
@@ -78,45 +80,62 @@ def _alphabet(value: str) -> int:
     return sum(n for pattern, n in sizes if re.search(pattern, value))
 
 
-def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
-    """Log10 of the guesses for the cheapest cut of ``value``."""
-    ranks = ranks or word_ranks()
-    longest = max(map(len, ranks))
-    n, lower = len(value), value.lower()
-    plain = lower.translate(_LEET)
-    per_char = math.log10(max(10, _alphabet(value)))
-    best = [0.0] + [math.inf] * n
-    same = {unit: [0] * (n + 1) for unit in (1, 2, 3, 4)}  # how far the value repeats itself, ``unit`` characters on
-    for unit, length in same.items():
-        for i in range(n - unit - 1, -1, -1):
-            length[i] = length[i + 1] + 1 if value[i] == value[i + unit] else 0
+class _Spans:
+    """The priced spans of a value: (end, log10 of guesses) of those that start at a place."""
 
-    def offer(i: int, j: int, cost: float) -> None:
-        best[j] = min(best[j], best[i] + cost)
+    def __init__(self, value: str, ranks: dict[str, int]):
+        self.value, self.lower, self.ranks = value, value.lower(), ranks
+        self.plain = self.lower.translate(_LEET)
+        self.per_char = math.log10(max(10, _alphabet(value)))
+        self.same = {unit: self._repeats(unit) for unit in (1, 2, 3, 4)}
 
-    for i in range(n):
-        offer(i, i + 1, per_char)  # brute force, a character at a time
+    def _repeats(self, unit: int) -> list[int]:
+        """How far the value repeats itself, ``unit`` characters on, from each place."""
+        value, length = self.value, [0] * (len(self.value) + 1)
+        for i in range(len(value) - unit - 1, -1, -1):
+            length[i] = length[i + 1] + 1 if value[i] == value[i + unit] else 0
+        return length
+
+    def at(self, i: int) -> Iterator[tuple[int, float]]:
+        value, lower, n = self.value, self.lower, len(self.value)
+        yield i + 1, self.per_char  # brute force, a character at a time
         if value[i] in _JOINS and value[i - 1 : i].isalpha() and value[i + 1 : i + 2].isalpha():
-            offer(i, i + 1, math.log10(len(_JOINS) + 1))  # a hyphen or its like between words
-        for j in range(i + 2, min(n, i + longest) + 1):
-            for text, extra in ((lower[i:j], 0.0), (plain[i:j], 0.5)):
-                if text in ranks:
-                    offer(i, j, math.log10(ranks[text] + 1) + extra + (0.0 if value[i:j].islower() else 0.5))
+            yield i + 1, math.log10(len(_JOINS) + 1)  # a hyphen or its like between words
+        for j in range(i + 2, min(n, i + LONGEST_WORD) + 1):
+            for text, extra in ((lower[i:j], 0.0), (self.plain[i:j], 0.5)):
+                if text in self.ranks:
+                    yield j, math.log10(self.ranks[text] + 1) + extra + (0.0 if value[i:j].islower() else 0.5)
         if m := _DATE.match(value, i):
-            offer(i, m.end(), math.log10(365 * 120))
-        j = i + 1 + same[1][i]
-        if j - i >= 3:
-            offer(i, j, per_char + math.log10(j - i))
+            yield m.end(), math.log10(365 * 120)
+        run = 1 + self.same[1][i]
+        if run >= 3:
+            yield i + run, self.per_char + math.log10(run)
         for walk in _WALKS:
             at, k = walk.find(lower[i]), 0
             while at >= 0 and i + k < n and at + k < len(walk) and walk[at + k] == lower[i + k]:
                 k += 1
             if k >= 3:
-                offer(i, i + k, math.log10(len(_WALKS) * 10) + math.log10(k))
+                yield i + k, math.log10(len(_WALKS) * 10) + math.log10(k)
         for unit in (2, 3, 4):  # a repeated unit costs its first copy and a count
-            copies = 1 + same[unit][i] // unit
+            copies = 1 + self.same[unit][i] // unit
             if copies >= 2:
-                offer(i, i + unit * copies, unit * per_char + math.log10(copies))
+                yield i + unit * copies, unit * self.per_char + math.log10(copies)
+
+
+def guess_cost(value: str, ranks: dict[str, int] | None = None, enough: float = math.inf) -> float:
+    """Log10 of the guesses for the cheapest cut of ``value``.
+
+    Spans have bounded length or are runs, so time is linear in the value.
+    Once every cut is sure to cost ``enough`` (looked at whenever the place has
+    doubled), a bound that is at least that is returned.
+    """
+    spans, n = _Spans(value, ranks or word_ranks()), len(value)
+    best = [0.0] + [math.inf] * n
+    for i in range(n):
+        for j, cost in spans.at(i):
+            best[j] = min(best[j], best[i] + cost)
+        if i >= 64 and i & (i - 1) == 0 and (bound := min(best[i + 1 :])) >= enough:
+            return bound
     return best[n]
 
 
@@ -144,7 +163,7 @@ def guessed_spans(text: str, base: list[tuple[str, int, int]], least_cost: float
         value = text[start:end]
         if len(value) < 8 or any(s <= start and end <= e for _, s, e in base):
             continue
-        if guess_cost(value, ranks) >= least_cost:
+        if guess_cost(value, ranks, least_cost) >= least_cost:
             found.append((GUESS, start, end))
     return found
 

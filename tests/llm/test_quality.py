@@ -55,3 +55,24 @@ def test_clashing_columns(docs):
 
     got = quality.judge(docs.withColumns({"kept": F.lit("x"), "n_words": F.lit(1.5)}))
     assert dict(got.dtypes)["kept"] == "boolean" and got.count() == docs.count()
+
+
+def test_menu_rule_is_the_pattern_and_linear(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    pattern = re.compile(r"[^\W\d_][^|»›•·]*[|»›•·][^|»›•·]*[^\W\d_]")
+    lines = ["a|b", "a||b", "|a|", "1|2", "a 1 | 2 b", "x » » y", "a|1|b", "", "|||", "é•漢"]
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select("line", quality.lettered_neighbours(F.col("line")).alias("y")).collect()
+    assert [r.y for r in got] == [bool(pattern.search(x)) for x in lines]
+    began = time.perf_counter()
+    long = ["a" * 1_000_000 + "|||", "|" * 300_000, "a " * 500_000, "ab|" * 300_000 + "x" * 1_000_000]
+    assert len(rows(spark.createDataFrame([(i, t) for i, t in enumerate(long)], "id int, text string"))) == 4
+    assert time.perf_counter() - began < 60
+
+
+def test_column_named_like_the_inner_one(docs):
+    from pyspark.sql import functions as F
+
+    assert {r._words for r in quality.judge(docs.withColumn("_words", F.lit("mine"))).select("_words").distinct().collect()} == {"mine"}

@@ -86,3 +86,44 @@ def test_plain_and_hyphenated_words_stay(spark):
     got = secret_scan.scan(spark.createDataFrame([(t,) for t in kept], "text string"), redact=True).collect()
     assert Counter(r.text for r in got) == Counter(kept)
     assert len(secret_scan.word_ranks()) < 40_000
+
+
+def test_cheapest_cut_is_that_of_all_cuts():
+    """The dynamic programme against every segmentation of short values."""
+    import math
+
+    ranks = secret_scan.word_ranks()
+
+    def brute_cost(value):
+        spans = secret_scan._Spans(value, ranks)
+        every = [list(spans.at(i)) for i in range(len(value))]
+
+        def cuts(i):
+            return 0.0 if i == len(value) else min(cost + cuts(j) for j, cost in every[i])
+
+        return cuts(0)
+
+    for value in ("pass1234", "abcabcabc", "x9$Qm2", "2024-01-31", "P@ssw0rd1", "aaaaabbb", "summer-day", "1qaz2wsx", "zzzz", "a"):
+        assert math.isclose(secret_scan.guess_cost(value), brute_cost(value))
+
+
+def test_span_prices():
+    prices = {j: c for j, c in secret_scan._Spans("password", {"password": 1, "pass": 2}).at(0)}
+    assert prices[8] < prices[4] < 1 and prices[1] > 1
+    assert min(c for j, c in secret_scan._Spans("20240131x", {"zz": 1}).at(0) if j == 8) < 5
+
+
+def test_very_long_values_end():
+    import time
+
+    began = time.perf_counter()
+    for value in ("k" * 200_000, "xK9$vQ2!mZ7w" * 80_000, "ab" * 100_000, "token " * 100_000):
+        text = "passphrase: " + value
+        spans = secret_scan.guessed_spans(text, secret_scan.base_spans(text), 9.0)
+        assert bool(spans) == ("$" in value)
+    assert time.perf_counter() - began < 90
+
+
+def test_bound_agrees_with_the_whole_cost():
+    for value in ("q7" * 20 + "correct horse", "xK9$vQ2!mZ7w" * 20, "a" * 400):
+        assert (secret_scan.guess_cost(value, enough=9.0) >= 9.0) == (secret_scan.guess_cost(value) >= 9.0)
