@@ -11,11 +11,14 @@ or more links them.
 Texts of one shingle set are one node before any key is made.  The nodes of a
 key are compared in rounds: about ``HUBS`` of them are hubs and meet all the
 others, what is alike becomes one component, and only keys whose other nodes
-are still of several components go on, with eight times the hubs, drawn
-outside the key's largest component.  No pair that meets in a key is given up
-but where both are of one component already, so groups are those that all such
-pairs would make; a crowded group of copies ends after a round or two, linear
-in its size.
+are still of several components go on, where all nodes outside a key's largest
+component meet the others (first eight times the hubs, where they are very
+many).  A pair is left out where both are of
+one component already, where their sizes and the shingles that anybody else in
+an open key has cannot make the similarity, and where their prints (the low
+bits of all sketch values) are far apart.  The first two cost no link; the last
+costs a pair at similarity 0.8 with a chance of some 0.005, and hardly any at
+0.85.  A crowded group of copies ends after a round or two, linear in its size.
 
 Defined results: a null, empty or blank text has no shingles and is alike with
 others of that kind only; a text shorter than a shingle is one shingle.
@@ -36,6 +39,15 @@ from .simhash import GolayKeys, components, shingles
 HUBS = 4
 #: Sketch values, bands, and what a band takes of the sketch.
 VALUES, BANDS, WHOLE, BITS = 128, 16, 2, 24
+#: The low bits that a print keeps of each sketch value, in longs.
+LOW_BITS, PRINT = 4, [f"p{i}" for i in range(16)]
+#: What the nodes of a key are told apart by: their prints, shingles, and those of them that others may have.
+TOLD = [*PRINT, "size", "common"]
+#: Prints further apart than this are not compared: texts of similarity 0.8
+#: are 102 of 1,024 bits apart in the mean, with a standard deviation of 13.5.
+BITS_APART = 137
+#: Beyond so many nodes outside a key's largest component more hubs are tried first.
+CROWDED = 4096
 _SLICE = 512
 _CHUNK = 1 << 11
 _RNG = np.random.default_rng(9)
@@ -52,13 +64,14 @@ def shingle_hashes(data: bytes, n: int = 5) -> np.ndarray:
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
-    """The least value of each hash function over a set that is not empty."""
-    least = np.full(VALUES, 0xFFFFFFFF, np.uint32)
+    """The least value of each hash function over a set that is not empty, then the greatest ones."""
+    least, most = np.full(VALUES, 0xFFFFFFFF, np.uint32), np.zeros(VALUES, np.uint32)
     short = (hashes >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(short), _CHUNK):
         mixed = (short[at : at + _CHUNK] ^ _PLUS[:, None]) * _TIMES[:, None]
         np.minimum(least, mixed.min(axis=1), out=least)
-    return least
+        np.maximum(most, mixed.max(axis=1), out=most)
+    return np.r_[least, most]
 
 
 def keys(golay: GolayKeys, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,6 +91,12 @@ def keys(golay: GolayKeys, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(rows), np.concatenate(made)
 
 
+def prints(sketches: np.ndarray) -> np.ndarray:
+    """Low bits of every sketch value, packed: rows of longs."""
+    low = np.unpackbits((sketches & np.uint32(0xFF)).astype(np.uint8)[..., None], axis=-1, bitorder="little")[..., :LOW_BITS]
+    return np.packbits(low.reshape(len(sketches), -1), axis=1, bitorder="little").view("<i8")
+
+
 def _texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
     for batch in batches:
         for at in range(0, batch.num_rows, _SLICE):
@@ -86,9 +105,9 @@ def _texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.
 
 
 def marked(docs: DataFrame, text_col: str, n: int) -> DataFrame:
-    """``docs`` with ``node``, the name of the shingle set, and its keys instead of the text."""
+    """``docs`` with ``node``, the name of the shingle set, its print and its keys instead of the text."""
     kept = [c for c in docs.columns if c != text_col]
-    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("node", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("node", T.LongType()), *(T.StructField(p, T.LongType()) for p in TOLD), T.StructField("keys", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         golay = GolayKeys()
@@ -97,47 +116,75 @@ def marked(docs: DataFrame, text_col: str, n: int) -> DataFrame:
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
             full = [i for i, s in enumerate(sets) if len(s)]
             counts = np.zeros(len(sets), np.int64)
-            found = np.empty(0, np.int64)
+            found, printed = np.empty(0, np.int64), np.zeros((len(sets), len(PRINT)), np.int64)
             if full:
-                rows, found = keys(golay, np.stack([sketch(sets[i]) for i in full]))
+                sketches = np.stack([sketch(sets[i]) for i in full])
+                printed[full] = prints(sketches)
+                rows, found = keys(golay, sketches)
                 rows = np.array(full)[rows]
                 found = found[np.argsort(rows, kind="stable")]
                 counts += np.bincount(rows, minlength=len(sets))
+            size = pa.array([len(x) for x in sets], pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(found))
-            yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), pa.array(nodes), lists], schema.names)
+            yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), pa.array(nodes), *map(pa.array, np.ascontiguousarray(printed.T)), size, size, lists], schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
 def _met(nodes: DataFrame) -> DataFrame:
-    """(key, node) of every key that two nodes and more have."""
-    keyed = nodes.select(F.explode("keys").alias("key"), "node")
+    """(key, node, ``TOLD``) of every key that two nodes and more have."""
+    keyed = nodes.select(F.explode("keys").alias("key"), "node", *TOLD)
     shared = keyed.groupBy("key").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a < _b").select("key")
     return keyed.join(durable(shared, "near-keys"), "key")
 
 
 def _round(members: DataFrame, hubs: int, turn: int) -> DataFrame | None:
-    """Members (key, node, comp) of the keys whose nodes are not of one component yet, ``hub`` told.
+    """Members (key, node, comp, ``TOLD``) of the keys whose nodes are not of one component yet.
 
-    Outside its largest component a key draws about ``hubs`` hubs, or takes
-    all where it has no more.
+    ``hub`` tells the nodes to compare with the others of a key.  In the first
+    turn, and while a key is crowded, that is about ``hubs`` for each key (all
+    where it has no more); then every node outside the largest component of
+    one of its keys, which ``keys`` lists.
     """
     sizes = members.groupBy("key", "comp").count()
     most = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("most"), (F.sum("count") - F.max("count")).alias("rest"))
     open_ = durable(most.where("rest > 0"), "near-open")
-    if open_.isEmpty():
+    if (largest := open_.agg(F.max("rest")).first()[0]) is None:
         return None
-    drawn = F.pmod(F.xxhash64(F.lit(turn), "key", "node"), F.col("rest")) < hubs
-    return durable(members.join(open_, "key").select("key", "node", "comp", ((F.col("comp") != F.col("most")) & drawn).alias("hub")), "near-members")
+    joined = members.drop("hub", "keys").join(open_, "key")
+    outside = F.col("comp") != F.col("most")
+    if turn == 0 or largest > CROWDED:
+        drawn = F.pmod(F.xxhash64(F.lit(turn), "key", "node"), F.col("rest")) < hubs
+        return durable(joined.select("key", "node", "comp", (outside & drawn).alias("hub"), F.lit(None).cast("array<long>").alias("keys"), *TOLD), "near-members")
+    joined = durable(joined.withColumn("outside", outside), "near-outside")
+    of_node = durable(joined.groupBy("node").agg(F.max("outside").alias("hub"), F.collect_set("key").alias("keys")), "near-hubs")
+    return durable(joined.join(of_node, "node").select("key", "node", "comp", "hub", "keys", *TOLD), "near-members")
+
 
+def candidates(opened: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """(a, b): distinct pairs of a key's hubs with its nodes of other components.
 
-def candidates(opened: DataFrame) -> DataFrame:
-    """(a, b): distinct pairs of a key's hubs with its nodes of other components."""
-    hubs = opened.where("hub").select("key", F.col("node").alias("h"), F.col("comp").alias("hub_comp"))
-    met = hubs.join(opened, "key").where("comp != hub_comp AND (NOT hub OR h < node)")
+    Left out are pairs whose prints are far apart and those whose sizes and
+    common shingles cannot make the similarity ``least``.
+    """
+    hubs = opened.where("hub").select("key", F.col("node").alias("h"), *(F.col(c).alias(f"h_{c}") for c in ("comp", "keys", *TOLD)))
+    apart = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"h_{p}"))) for p in PRINT), F.lit(0))
+    most = F.least("common", "h_common")
+    could = most * least[1] >= (F.col("size") + F.col("h_size") - most) * least[0]
+    met = hubs.join(opened, "key").where((F.col("comp") != F.col("h_comp")) & (~F.col("hub") | (F.col("h") < F.col("node"))) & could & (apart <= BITS_APART))
+    # a pair of several keys meets in the first of them, where hubs are hubs in all
+    met = met.where(F.col("keys").isNull() | (F.array_min(F.array_intersect("keys", "h_keys")) == F.col("key")))
     return met.select(F.least("h", "node").alias("a"), F.greatest("h", "node").alias("b")).distinct()
 
 
+def _common(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members with ``common``: their shingles that another node among them has."""
+    nodes = members.select("node").distinct()
+    listed = sets.join(nodes, "node", "left_semi").select("node", F.explode("hashes").alias("shingle"))
+    own = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return members.drop("common").join(durable(own, "near-own"), "node", "left").withColumn("common", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+
+
 def _sets(texts: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, found in _texts(batches, "text"):
@@ -156,9 +203,9 @@ def near_copies(docs: DataFrame, row_key: tuple[str, str], id_col: str = "doc_id
     """
     row_key = list(row_key)
     rows = durable(marked(docs.select(id_col, text_col, *row_key), text_col, n), "near-nodes")
-    nodes = durable(rows.groupBy("node").agg(F.min(F.struct(*row_key, "keys")).alias("r")).select("node", "r.*"), "near-distinct")
+    nodes = durable(rows.groupBy("node").agg(F.min(F.struct(*row_key, *TOLD, "keys")).alias("r")).select("node", "r.*"), "near-distinct")
     met = durable(_met(nodes), "near-met")
-    texts = docs.select(*row_key, F.col(text_col).alias("text")).join(nodes.drop("keys").join(met.select("node").distinct(), "node", "left_semi"), row_key)
+    texts = docs.select(*row_key, F.col(text_col).alias("text")).join(nodes.select("node", *row_key).join(met.select("node").distinct(), "node", "left_semi"), row_key)
     sets = durable(_sets(texts.dropDuplicates(["node"]), n), "near-sets")
     left, right = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"_{c}")) for c in "ab")
     both = F.size(F.array_intersect("_a", "_b"))
@@ -166,11 +213,13 @@ def near_copies(docs: DataFrame, row_key: tuple[str, str], id_col: str = "doc_id
     forest = durable(met.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false"), "near-links")
     opened, turn = _round(met.withColumn("comp", F.col("node")), HUBS, 0), 0
     while opened is not None:
-        pairs = durable(candidates(opened), "near-pairs")
+        pairs = durable(candidates(opened, least), "near-pairs")
         links = pairs.join(left, "a").join(right, "b").where(alike).select("a", "b")
         forest = components(forest.unionByName(links)).select(F.col("node").alias("a"), F.col("root").alias("b"))
-        rest, turn = opened.where("NOT hub").select("key", "node"), turn + 1
-        named = rest.join(forest, F.col("node") == F.col("a"), "left").select("key", "node", F.coalesce("b", "node").alias("comp"))
+        rest, turn = opened.where("NOT hub").drop("comp", "hub", "keys"), turn + 1
+        named = rest.join(forest, F.col("node") == F.col("a"), "left").withColumn("comp", F.coalesce("b", "node")).drop("a", "b")
         opened = _round(durable(named, "near-named"), HUBS * 8**turn, turn)
+        if opened is not None:
+            opened = durable(_common(opened, sets), "near-common")
     rooted = forest.withColumnsRenamed({"a": "_node", "b": "root"})
-    return rows.drop("keys").join(rooted, F.col("node") == F.col("_node"), "left").select(id_col, *row_key, F.coalesce("root", "node").alias("group"))
+    return rows.drop("keys", *TOLD).join(rooted, F.col("node") == F.col("_node"), "left").select(id_col, *row_key, F.coalesce("root", "node").alias("group"))

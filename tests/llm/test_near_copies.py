@@ -70,6 +70,7 @@ def test_small_data(docs, odd_docs):
 def test_rounds_lose_no_pair_of_a_key(spark, monkeypatch):
     """One hub a key and round: groups are still those of all pairs."""
     monkeypatch.setattr(near_copies, "HUBS", 1)
+    monkeypatch.setattr(near_copies, "CROWDED", 60)
     rng = random.Random(6)
     words = [f"w{rng.randrange(500)}" for _ in range(200)]
     texts = [edited(rng, words, rng.choice((1, 2, 3, 12, 14))) for _ in range(120)]
