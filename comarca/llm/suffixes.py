@@ -9,14 +9,18 @@ Suffixes that share their first ``length`` bytes stand next to each other.
 Shards hold only text that could repeat.  Every ``length``-byte string is
 named by the least hash of its grams, equal strings by equal names, and
 the consecutive starts of one name make a window of text.  Windows meet by
-name; those with a twin of equal content are covered whole, without sorting,
-and one of them goes to the shard with every other window of that name.  Twins
+name; those with a twin of equal content are one string repeated and covered
+whole, and one of them goes on with every other window of that name.  Twins
 inside a map batch are recognised there, so a passage that is in a third of
 all documents sends one row for each batch.  A name that occurs once needs no
-sorting unless its window repeats its own gram.  A name with very many different
-windows (the edges of a passage that a large share of the documents holds) would
-fill one shard without end; its strings are told apart by 128-bit digests, which
-any number of tasks can share.
+sorting unless its window repeats its own gram.
+
+Windows that go on are split in cells: strings that start about equally far
+before their gram, named by the bytes that all strings of the cell have.  A
+window at the edge of a passage so falls apart into a cell inside it (twins),
+one outside (alone), and one across.  Where a name still has very many
+windows its cells are split again, in quarters, until it has few or a cell is
+one string; each step makes a few rows of a window, whatever the group's size.
 
 Two places differ from the textbook form.  The string of substring names is
 ranked by prefix doubling and not by further levels of induction: its alphabet
@@ -25,11 +29,13 @@ The text of a shard itself is held in memory, two bytes for each byte of it;
 the tuples, an order of magnitude larger, are what spills.  The queues' scratch
 files are private to a task, nameless, and gone when it ends.
 
-Rows are named by 64 bits of their id and text between the steps.
+Rows are named by 128 bits of their id and text between the steps.
 
 Defined results: a null text is empty and loses nothing; a repeated row is
 another place where its text starts; spans are in bytes of the UTF-8 text and
-may cut a character, so what is kept is binary.
+may cut a character, so what is kept is binary.  Columns other than the id and
+the text do not pass through, whatever their names.  A very long text is cut
+into windows like any other, in the memory of the task that holds it.
 """
 
 from __future__ import annotations
@@ -38,19 +44,22 @@ import hashlib
 import itertools
 import tempfile
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import durable
 
 LONGEST_GRAM = 48
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 8 << 20
 HELD_WINDOWS = 1 << 20
-CROWDED = 1024
-QUEUE_BYTES = 128 << 20
+CROWDED = 256
+SPREAD = 256
+QUEUE_BYTES = 8 << 20
 _SENTINEL, _SEPARATOR, _SHIFT = 0, 1, 2  # UTF-8 has no byte above 0xF4
 _MOST = 255
 
@@ -95,95 +104,172 @@ def windows(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return name.view(np.int64), first, end, own
 
 
-_WINDOW_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in ("part", "name", "content", "row", "first", "ends")] + [T.StructField("copies", T.IntegerType()), T.StructField("own", T.BooleanType())])
-_ARROW = {"copies": pa.int32(), "own": pa.bool_()}
+#: What a window is: its row's key, first start, end of starts, whether they are
+#: covered already; the place of its gram and its text once it was split.
+_FIELDS = {"part": pa.int64(), "name": pa.int64(), "content": pa.int64(), "row": pa.int64(), "row2": pa.int64(), "first": pa.int64(), "ends": pa.int64(), "gram": pa.int64(), "covered": pa.bool_(), "text": pa.binary(), "copies": pa.int32(), "own": pa.bool_(), "many": pa.bool_()}
+_SQL = {pa.int64(): "long", pa.int32(): "int", pa.bool_(): "boolean", pa.binary(): "binary"}
+_SPAN = ["row", "row2", "first", "ends", "name", "gram", "covered", "text"]
+
 
+def _schema(columns: list[str]) -> str:
+    return ", ".join(f"{c} {_SQL[_FIELDS[c]]}" for c in columns)
 
-def _arrow(columns: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v, _ARROW.get(k, pa.int64())) for k, v in columns.items()], list(columns))
+
+def _dealt(found: dict[str, np.ndarray], texts: int) -> pa.RecordBatch:
+    """Windows of a batch of ``texts`` texts: ``copies`` 1 and over go on; 0 are covered already.
+
+    One of equal windows goes on for the batch.  Windows meet by name; a name
+    with many different windows here has several for sure, and but for one they
+    meet by content only, so that a very common name is spread.
+    """
+    name, content, n = found["name"], found["content"], len(found["name"])
+    order = np.lexsort((content, name))
+    new = np.r_[True, (np.diff(name[order]) != 0) | (np.diff(content[order]) != 0)]
+    new_name = np.r_[True, np.diff(name[order]) != 0]
+    sizes = np.diff(np.r_[np.flatnonzero(new), n])
+    copies = np.zeros(n, np.int32)
+    copies[order[new]] = sizes
+    twin = np.zeros(n, bool)
+    twin[order] = np.repeat(sizes > 1, sizes)
+    many, lead = np.zeros(n, bool), np.zeros(n, bool)
+    which = np.cumsum(new_name) - 1
+    many[order] = (np.bincount(which, new) > max(2, texts // SPREAD))[which]
+    lead[order[new_name]] = True
+    stays = copies == 0  # the twins that stay here go anywhere
+    part = np.where(many & ~lead, name ^ content, name)
+    heads = np.flatnonzero(twin & ~stays)  # the one that goes on stands for the batch; its own place is covered too
+    rows = np.r_[np.arange(n), heads]
+    own = found["own"] & ~stays
+    columns = found | {"part": np.where(stays, found["row"], part), "copies": copies, "own": own, "many": many, "covered": found["covered"] | stays}
+    columns = {c: columns[c][rows] for c in _FIELDS if c != "text"}
+    columns["copies"][n:], columns["own"][n:], columns["part"][n:], columns["covered"][n:] = 0, False, found["row"][heads], True
+    text = pa.array(np.where(np.r_[stays, np.ones(len(heads), bool)], None, found["text"][rows]) if found["text"] is not None else [None] * len(rows), pa.binary())
+    return pa.RecordBatch.from_arrays([text if c == "text" else pa.array(columns[c], kind) for c, kind in _FIELDS.items()], list(_FIELDS))
 
 
 def _windows(keyed: DataFrame, length: int) -> DataFrame:
-    """Windows of (row, text): ``copies`` 1 and over go on by name; 0 are covered already."""
+    """Windows of (row, row2, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, contents = [], []
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for row, data in zip(batch.column(0).to_pylist(), texts):
-                if data is None or len(data) < length:
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
+            for row, row2, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
+                if len(data) < length:
                     continue
                 name, first, end, own = windows(data, length)
-                parts.append((name, np.full(len(name), row, np.int64), first, end, own))
+                parts.append((name, np.full(len(name), row, np.int64), np.full(len(name), row2, np.int64), first, end, own))
                 view = memoryview(data)
                 contents += [xxhash.xxh64_intdigest(view[a:b]) for a, b in zip(first.tolist(), (end + length - 1).tolist())]
-            if not parts:
-                continue
-            name, row, first, end, own = map(np.concatenate, zip(*parts))
-            content = np.array(contents, np.uint64).view(np.int64)
-            order = np.lexsort((content, name))
-            new = np.r_[True, (np.diff(name[order]) != 0) | (np.diff(content[order]) != 0)]
-            sizes = np.diff(np.r_[np.flatnonzero(new), len(order)])
-            copies = np.zeros(len(order), np.int32)
-            copies[order[new]] = sizes
-            twin = np.zeros(len(order), bool)
-            twin[order] = np.repeat(sizes > 1, sizes)
-            spread = copies == 0  # the twins that stay here go anywhere
-            yield _arrow({"part": np.where(spread, row, name), "name": name, "content": content, "row": row, "first": first, "ends": end, "copies": copies, "own": own & ~spread})
-            heads = twin & ~spread
-            if heads.any():  # the one that goes on stands for the batch; its own place is covered too
-                yield _arrow({"part": row[heads], "name": name[heads], "content": content[heads], "row": row[heads], "first": first[heads], "ends": end[heads], "copies": np.zeros(heads.sum(), np.int32), "own": np.zeros(heads.sum(), bool)})
-
-    return keyed.mapInArrow(run, _WINDOW_SCHEMA)
+            if parts:
+                name, row, row2, first, ends, own = map(np.concatenate, zip(*parts))
+                n = len(name)
+                yield _dealt({"name": name, "content": np.array(contents, np.uint64).view(np.int64), "row": row, "row2": row2, "first": first, "ends": ends, "gram": np.full(n, -1), "covered": np.zeros(n, bool), "own": own, "text": None}, len(texts))
+
+    return keyed.mapInArrow(run, _schema(list(_FIELDS)))
+
+
+def cells(length: int, level: int) -> int:
+    """Starts of a cell: a quarter of those of the level above; one in the end."""
+    return -(-(length - gram_of(length) + 1) // 4**level)
+
+
+def split_window(text: bytes, first: int, ends: int, grams: np.ndarray, length: int, level: int) -> Iterator[tuple[int, int, int, int]]:
+    """(name, first, end of starts, gram) of the parts of a window.
+
+    ``text`` begins at ``first``; ``grams`` are the places of the window's
+    gram.  A string belongs to its leftmost one, and how far before it the
+    string starts says its cell, so equal strings get equal names: the hash
+    of the bytes that every string of the cell has.
+    """
+    width, most = cells(length, level), length - gram_of(length) + 1
+    at = first
+    while at < ends:
+        gram = int(grams[np.searchsorted(grams, at)])
+        cell = (gram - at) // width
+        end = min(ends, gram - cell * width + 1)
+        low, high = gram - cell * width, gram - min((cell + 1) * width, most) + 1 + length
+        yield xxhash.xxh64_intdigest(text[low - first : high - first], 4 * level * 4**level + cell), at, end, gram
+        at = end
+
+
+def _split(pieces: DataFrame, length: int, level: int) -> DataFrame:
+    """Windows of (``_SPAN``) with their text, split in cells."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, contents, texts, rest = [], [], [], []
+            for row, row2, first, ends, name, gram, covered, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if gram < 0:
+                    grams = first + np.flatnonzero(_gram_hashes(np.frombuffer(text, np.uint8), gram_of(length)).view(np.int64) == name)
+                else:
+                    grams = np.array([gram])
+                for part, a, b, place in split_window(text, first, ends, grams, length, level):
+                    cut = text[a - first : b - first + length - 1]
+                    names.append(part)
+                    contents.append(xxhash.xxh64_intdigest(cut))
+                    texts.append(cut)
+                    rest.append((row, row2, a, b, place, covered))
+            if names:
+                row, row2, first, ends, gram, covered = map(np.array, zip(*rest))
+                held = np.empty(len(texts), object)
+                held[:] = texts
+                yield _dealt({"name": np.array(names, np.uint64).view(np.int64), "content": np.array(contents, np.uint64).view(np.int64), "row": row, "row2": row2, "first": first, "ends": ends, "gram": gram, "covered": covered, "own": np.zeros(len(names), bool), "text": held}, batch.num_rows)
+
+    return pieces.select(*_SPAN).mapInArrow(run, _schema(list(_FIELDS)))
 
 
 def _meet(found: DataFrame) -> DataFrame:
-    """Rows (row, first, ends, name, sort, covered): windows to sort or known to be covered.
+    """Rows of (``_SPAN``, sort): windows to sort or known to be covered.
 
     A name is judged whole, up to ``HELD_WINDOWS``; a longer run goes on in
     parts cut between contents, as a name that has several.
     """
-
-    def judge(cols: list[np.ndarray], many: set[int]) -> pa.RecordBatch:
-        name, content, row, first, ends, copies, own = cols
-        local = copies == 0
-        out = [(row[local], first[local], ends[local], name[local], np.zeros(local.sum(), bool), np.ones(local.sum(), bool))]
-        name, content, row, first, ends, copies, own = (c[~local] for c in (name, content, row, first, ends, copies, own))
-        if len(name):
+    columns = [c for c in _FIELDS if c != "part"]
+
+    def judge(table: pa.Table, going_on: set[int]) -> pa.RecordBatch:
+        name, content, copies, own, many, before = (table.column(c).to_numpy() for c in ("name", "content", "copies", "own", "many", "covered"))
+        here = np.flatnonzero(copies == 0)
+        left = np.flatnonzero(copies > 0)
+        name, content, copies, own, many, before = (c[left] for c in (name, content, copies, own, many, before))
+        rows, sort, covered = here, np.zeros(len(here), bool), np.ones(len(here), bool)
+        if len(left):
             new_name = np.r_[True, np.diff(name) != 0]
             new = new_name | np.r_[True, np.diff(content) != 0]
-            group = np.cumsum(new) - 1
+            group, of_name = np.cumsum(new) - 1, np.cumsum(new_name) - 1
             total = np.bincount(group, copies)[group]
-            variants = np.bincount(np.cumsum(new_name) - 1, new)[np.cumsum(new_name) - 1]
-            covered = (total > 1) & (copies == 1)
-            several = (variants > 1) | np.isin(name, list(many))
-            sort = new & (several | own)
-            keep = covered | sort
-            out.append((row[keep], first[keep], ends[keep], name[keep], sort[keep], covered[keep] | (total > 1)[keep]))
-        row, first, ends, name, sort, covered = map(np.concatenate, zip(*out))
-        return pa.RecordBatch.from_arrays([pa.array(row), pa.array(first), pa.array(ends), pa.array(name), pa.array(sort), pa.array(covered)], ["row", "first", "ends", "name", "sort", "covered"])
+            several = (np.bincount(of_name, new)[of_name] > 1) | (np.bincount(of_name, many)[of_name] > 0) | np.isin(name, list(going_on))
+            sorts = new & (several | own)
+            twin = total > 1
+            keep = sorts | (twin & (copies == 1))
+            rows, sort, covered = np.r_[rows, left[keep]], np.r_[sort, sorts[keep]], np.r_[covered, (twin | before)[keep]]
+        out = table.select([c for c in _SPAN if c not in ("covered", "text")]).take(rows)
+        text = pc.if_else(pa.array(sort), table.column("text").take(rows), pa.scalar(None, pa.binary()))
+        return pa.table([*out.columns, pa.array(covered), text, pa.array(sort)], [*out.column_names, "covered", "text", "sort"]).combine_chunks().select([*_SPAN, "sort"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, many = None, set()
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
-                cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
-                held = cols if held is None else [np.r_[a, b] for a, b in zip(held, cols)]
-            if held is None or not len(held[0]):
+                more = pa.Table.from_batches([batch])
+                held = more if held is None else pa.concat_tables([held, more])
+            if held is None or not held.num_rows:
                 continue
+            name = held.column("name").to_numpy()
             # a name's run may go on in the next batch
-            end = len(held[0]) if batch is None else int(np.searchsorted(held[0], held[0][-1]))
+            end = len(name) if batch is None else int(np.searchsorted(name, name[-1]))
             part = set()
-            if not end and len(held[0]) > HELD_WINDOWS:
-                end = int(np.searchsorted(held[1], held[1][-1]))
-                part = {int(held[0][-1])} if end else set()
+            if not end and len(name) > HELD_WINDOWS:
+                content = held.column("content").to_numpy()
+                end = int(np.searchsorted(content, content[-1]))
+                part = {int(name[-1])} if end else set()
             if end:
-                yield judge([c[:end] for c in held], many | part)
-                many = part or many & {int(held[0][end])} if end < len(held[0]) else set()
-                held = [c[end:] for c in held]
+                yield from judge(held.slice(0, end), many | part).to_batches()
+                many = part or many & {int(name[end])} if end < len(name) else set()
+                held = held.slice(end)
 
-    dealt = found.repartition("part").sortWithinPartitions("name", "content").select("name", "content", "row", "first", "ends", "copies", "own")
-    return dealt.mapInArrow(run, "row long, first long, ends long, name long, sort boolean, covered boolean")
+    dealt = found.repartition("part").sortWithinPartitions("name", "content").select(*columns)
+    return dealt.mapInArrow(run, _schema(_SPAN) + ", sort boolean")
 
 
 # -- induced sorting ----------------------------------------------------------
@@ -441,85 +527,73 @@ def repeated_starts(pieces: list[bytes], length: int, most: int = QUEUE_BYTES) -
 
 # -- the operator -------------------------------------------------------------
 
-def _row_key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(id_col, text_col)
+def _row_keys(id_col: str, text_col: str) -> list[Column]:
+    return [F.xxhash64(id_col, text_col).alias("row"), F.xxhash64(F.lit(1), id_col, text_col).alias("row2")]
 
 
-def _cut_windows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """Windows to sort as (row, first, name, covered, text); of crowded names
-    each start as (row, first, key, key2), two digests of its string."""
-    kinds = {"row": pa.int64(), "first": pa.int64(), "name": pa.int64(), "covered": pa.bool_(), "text": pa.binary(), "key": pa.int64(), "key2": pa.int64()}
-
-    def pieces(row: int, data: bytes, span: dict) -> Iterator[tuple]:
-        if not span["crowded"]:
-            yield row, span["first"], span["name"], span["covered"], data[span["first"] : span["ends"] + length - 1], None, None
-            return
-        for at in range(span["first"], span["ends"]):
-            digest = xxhash.xxh3_128_digest(data[at : at + length])
-            yield row, at, None, span["covered"], None, *np.frombuffer(digest, "<i8").tolist()
+def _cut(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """``wanted`` windows with their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data, spans in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
-                cols = zip(*(p for s in spans for p in pieces(row, data, s)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds.values())], list(kinds))
-
-    asked = wanted.groupBy("row").agg(F.collect_set(F.struct("first", "ends", "name", "covered", "crowded")).alias("spans"))
-    return docs.join(asked, "row").select("row", "text", "spans").mapInArrow(run, "row long, first long, name long, covered boolean, text binary, key long, key2 long")
-
+            made = []
+            for row, row2, data, spans in zip(*(batch.column(i).cast(pa.binary()).to_pylist() if i == 2 else batch.column(i).to_pylist() for i in range(4))):
+                made += [(row, row2, s["first"], s["ends"], s["name"], s["gram"], s["covered"], data[s["first"] : s["ends"] + length - 1]) for s in spans]
+            yield pa.RecordBatch.from_arrays([pa.array(c, _FIELDS[k]) for k, c in zip(_SPAN, zip(*made))] if made else [pa.array([], _FIELDS[k]) for k in _SPAN], _SPAN)
 
-def _crowded_spans(starts: DataFrame, length: int) -> DataFrame:
-    """(row, a, b) of the strings of crowded names that start twice or more.
-
-    Counts combine before the shuffle, so neither a crowded name nor a very
-    common string meets in one task.
-    """
-    shared = starts.groupBy("key", "key2").count().where("count > 1").select("key", "key2")
-    return starts.where("NOT covered").join(shared, ["key", "key2"]).select("row", F.col("first").alias("a"), (F.col("first") + length).alias("b"))
+    asked = wanted.groupBy("row", "row2").agg(F.collect_set(F.struct("first", "ends", "name", "gram", "covered")).alias("spans"))
+    return docs.join(asked, ["row", "row2"]).select("row", "row2", "text", "spans").mapInArrow(run, _schema(_SPAN))
 
 
 def _sorted_spans(cut: DataFrame, length: int, shards: int) -> DataFrame:
-    """(row, a, b): byte spans that the suffix order of a shard shows to repeat."""
+    """(row, row2, a, b): byte spans that the suffix order of a shard shows to repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, firsts, covered, pieces = [], [], [], []
-        for batch in batches:
-            rows += batch.column(0).to_pylist()
-            firsts += batch.column(1).to_pylist()
-            covered += batch.column(2).to_pylist()
-            pieces += batch.column(3).to_pylist()
-        if not pieces:
+        table = pa.Table.from_batches(list(batches), pa.schema([(c, _FIELDS[c]) for c in ("row", "row2", "first", "covered", "text")]))
+        if not table.num_rows:
             return
+        pieces = table.column("text").to_pylist()
         flags = repeated_starts(pieces, length)
         steps = np.diff(np.r_[False, flags, False].astype(np.int8))
         a, b = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
         offsets = np.cumsum([0, *(len(p) + 1 for p in pieces)])
         piece = np.searchsorted(offsets, a, "right") - 1
-        open_ = ~np.array(covered, bool)[piece]
+        open_ = ~table.column("covered").to_numpy()[piece]
         a, b, piece = a[open_], b[open_], piece[open_]
-        shift = np.array(firsts)[piece] - offsets[piece]
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(rows, np.int64)[piece]), pa.array(a + shift), pa.array(b - 1 + shift + length)], ["row", "a", "b"])
+        shift = table.column("first").to_numpy()[piece] - offsets[piece]
+        keys = [table.column(c).to_numpy()[piece] for c in ("row", "row2")]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(a + shift), pa.array(b - 1 + shift + length)], ["row", "row2", "a", "b"])
 
-    return cut.repartition(shards, "name").select("row", "first", "covered", "text").mapInArrow(run, "row long, a long, b long")
+    return cut.repartition(shards, "name").select("row", "row2", "first", "covered", "text").mapInArrow(run, "row long, row2 long, a long, b long")
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, crowded: int = CROWDED) -> DataFrame:
-    """(row, spans): byte spans of (row, text) covered by a string that also starts elsewhere.
+    """(row, row2, spans): byte spans of (row, row2, text) covered by a string that also starts elsewhere.
 
-    Names with over ``crowded`` different windows are not sorted in one shard:
-    their strings are told apart by 128-bit digests.
+    Windows are split in cells once, and those of names with over ``crowded``
+    different windows again, until no name outgrows a shard.
     """
     met = durable(_meet(_windows(docs, length)), "windows")
-    wanted = met.where("sort")
-    names = wanted.groupBy("name").count().where(F.col("count") > crowded).select("name", F.lit(True).alias("crowded"))
-    wanted = wanted.join(names, "name", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
-    cut = durable(_cut_windows(docs, wanted, length), "cut-windows")
-    pieces = cut.where("text IS NOT NULL")
-    size = pieces.agg(F.sum(F.length("text"))).first()[0] or 0
-    found = _sorted_spans(pieces, length, max(1, -(-size // SHARD_BYTES)))
-    whole = met.where("covered").select("row", F.col("first").alias("a"), (F.col("ends") + length - 1).alias("b"))
-    every = whole.unionByName(found).unionByName(_crowded_spans(cut.where("key IS NOT NULL"), length))
-    return every.groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    whole, sorts = [met.where("covered")], []
+    pieces, level = durable(_cut(docs, met.where("sort"), length), "cut-windows"), 0
+    while pieces is not None:
+        level += 1
+        met = durable(_meet(_split(pieces, length, level)), f"cells{level}")
+        whole.append(met.where("covered"))
+        wanted = met.where("sort")
+        names = durable(wanted.groupBy("name").count().where(F.col("count") > crowded).select("name"), f"crowded{level}")
+        if cells(length, level) == 1 or names.isEmpty():
+            sorts.append(wanted)
+            break
+        sorts.append(wanted.join(names, "name", "left_anti"))
+        pieces = durable(wanted.join(names, "name").select(*_SPAN), f"again{level}")
+    cut = reduce(DataFrame.unionByName, [w.select("name", "row", "row2", "first", "covered", "text") for w in sorts])
+    if len(sorts) > 1:
+        cut = durable(cut, "to-sort")
+    size = cut.agg(F.sum(F.length("text"))).first()[0] or 0
+    found = [_sorted_spans(cut, length, max(1, -(-size // SHARD_BYTES)))]
+    found += [w.select("row", "row2", F.col("first").alias("a"), (F.col("ends") + length - 1).alias("b")) for w in whole]
+    return reduce(DataFrame.unionByName, found).groupBy("row", "row2").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
 #: What can be returned for each row, from its bytes and merged spans.
@@ -548,8 +622,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     """Rows of (id, outputs): each text without the bytes that repeat."""
     if not 8 <= length < _MOST:
         raise ValueError(f"length must be from 8 to {_MOST - 1}")
-    keyed = docs.select(_row_key(id_col, text_col).alias("row"), F.coalesce(text_col, F.lit("")).alias("text"), F.col(id_col).alias("id"))
-    spans = repeated_spans(keyed.select("row", "text"), length, crowded)
+    keyed = docs.select(*_row_keys(id_col, text_col), F.coalesce(text_col, F.lit("")).alias("text"), F.col(id_col).alias("id"))
+    spans = repeated_spans(keyed.select("row", "row2", "text"), length, crowded)
     schema = T.StructType([T.StructField(id_col, keyed.schema["id"].dataType), *(T.StructField(o, OUTPUTS[o][0]) for o in outputs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -561,4 +635,4 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
                 rows.append((data, cut, kept))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([OUTPUTS[o][2](*r) for r in rows], OUTPUTS[o][1]) for o in outputs)], schema.names)
 
-    return keyed.join(spans, "row", "left").select("id", "text", "spans").mapInArrow(run, schema)
+    return keyed.join(spans, ["row", "row2"], "left").select("id", "text", "spans").mapInArrow(run, schema)

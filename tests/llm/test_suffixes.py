@@ -50,7 +50,7 @@ def test_documents(docs):
 
 
 def test_crowded_names(docs, odd_docs):
-    check(docs, crowded=2)
+    check(docs, crowded=1)
     check(odd_docs, crowded=0)
 
 
@@ -73,6 +73,26 @@ def test_passages_at_every_offset(spark):
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
 
 
+def test_crowded_passage_at_every_level(spark, monkeypatch):
+    """The edges of one passage in many texts, split until a cell is one string."""
+    monkeypatch.setattr(suffixes, "SPREAD", 1 << 20)
+    rng = random.Random(12)
+    passage = "".join(rng.choice("abcdefghij ") for _ in range(700))
+    texts = ["".join(rng.choice("klmnop ") for _ in range(rng.randint(0, 150))) + passage[rng.choice((0, 0, 3)) :] + "".join(rng.choice("klm") for _ in range(rng.randint(0, 150))) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate([*texts, "-" * 900, "-" * 450 + "x", "ab-" * 400])), "doc_id long, text string")
+    check(df, crowded=0)
+    check(df, crowded=5)
+
+
+def test_very_long_and_clashing(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(13)
+    long = "".join(rng.choice("abcdefghij ") for _ in range(60_000))
+    df = spark.createDataFrame([(1, long), (2, "z" * 20_000), (3, long[30_000:30_300]), (4, None), (4, None)], "doc_id long, text string")
+    check(df.withColumns({c: F.lit(1) for c in ("row", "name", "spans", "content")}))
+
+
 def test_empty(docs):
     assert suffixes.remove_repeats(docs.where("false")).count() == 0
 
@@ -85,7 +105,7 @@ def test_long_runs_of_one_name_are_judged_in_parts(spark, monkeypatch):
         passage = "".join(rng.choice("abcdefghij ") for _ in range(230))
         texts = ["".join(rng.choice("klmnop ") for _ in range(50)) + passage + "".join(rng.choice("klm") for _ in range(50)) for _ in range(60)]
         df = spark.createDataFrame(list(enumerate(texts + texts[:9])), "doc_id long, text string")
-        keyed = df.select(suffixes._row_key("doc_id", "text").alias("row"), "text")
+        keyed = df.select(*suffixes._row_keys("doc_id", "text"), "text")
 
         def meet(limit):
             monkeypatch.setattr(suffixes, "HELD_WINDOWS", limit)
