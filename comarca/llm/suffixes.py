@@ -55,11 +55,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from .common import durable
 
 LONGEST_GRAM = 48
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 HELD_WINDOWS = 1 << 20
 CROWDED = 256
 SPREAD = 256
-QUEUE_BYTES = 8 << 20
+QUEUE_BYTES = 4 << 20
+_SLICE = 2048
 _SENTINEL, _SEPARATOR, _SHIFT = 0, 1, 2  # UTF-8 has no byte above 0xF4
 _MOST = 255
 
@@ -151,7 +152,7 @@ def _windows(keyed: DataFrame, length: int) -> DataFrame:
     """Windows of (row, row2, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, _SLICE) for b in batches for at in range(0, b.num_rows, _SLICE)):
             parts, contents = [], []
             texts = batch.column(2).cast(pa.binary()).to_pylist()
             for row, row2, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
@@ -170,8 +171,8 @@ def _windows(keyed: DataFrame, length: int) -> DataFrame:
 
 
 def cells(length: int, level: int) -> int:
-    """Starts of a cell: a quarter of those of the level above; one in the end."""
-    return -(-(length - gram_of(length) + 1) // 4**level)
+    """Starts of a cell: half of a gram's, then a quarter of those of the level above; one in the end."""
+    return -(-(length - gram_of(length) + 1) // (2 * 4 ** (level - 1)))
 
 
 def split_window(text: bytes, first: int, ends: int, grams: np.ndarray, length: int, level: int) -> Iterator[tuple[int, int, int, int]]:
@@ -197,7 +198,7 @@ def _split(pieces: DataFrame, length: int, level: int) -> DataFrame:
     """Windows of (``_SPAN``) with their text, split in cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, _SLICE) for b in batches for at in range(0, b.num_rows, _SLICE)):
             names, contents, texts, rest = [], [], [], []
             for row, row2, first, ends, name, gram, covered, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if gram < 0:
