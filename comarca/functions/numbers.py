@@ -67,8 +67,8 @@ def rounded_ratio(part: Column, whole: Column, digits: int = 6) -> Column:
 
 
 def score_level(score: Column) -> Column:
-    """Rounded half-even and clamped to 1..4."""
-    return F.least(F.lit(4), F.greatest(F.lit(1), F.bround(score).cast("int")))
+    """Rounded half-even and clamped to 1..4; null without a score."""
+    return F.when(score.isNotNull(), F.least(F.lit(4), F.greatest(F.lit(1), F.bround(score).cast("int"))))
 
 
 #: Labels of score levels and upper limits of the bands.

@@ -50,7 +50,10 @@ def peer_means(df: DataFrame, columns: Sequence[str], digits: int | None = None)
 
 
 def share_of_total(df: DataFrame, value: str, keys: Sequence[str] = (), out: str = "share") -> DataFrame:
-    """Each row's part of the total of its key."""
+    """Each row's part of the total of its key; without keys the total is one joined row."""
+    if not keys:
+        total = df.agg(F.sum(value).alias("_total"))
+        return df.join(F.broadcast(total)).withColumn(out, F.try_divide(F.col(value).cast("double"), F.col("_total"))).drop("_total")
     return df.withColumn(out, F.try_divide(F.col(value).cast("double"), F.sum(value).over(Window.partitionBy(*keys))))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from comarca.functions import numbers
 
@@ -41,8 +41,9 @@ def drop_blank_rows(df: DataFrame) -> DataFrame:
     return df.dropna(how="all")
 
 
-def column_or_typed_null(df: DataFrame, name: str, kind: str) -> Column:
-    return F.col(f"`{name}`").cast(kind) if name in df.columns else F.lit(None).cast(kind)
+def positive(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose value is there and over 0."""
+    return df.where(F.col(column) > 0)
 
 
 def tall_report(row: DataFrame, keys: Sequence[str], catalog: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -51,4 +52,4 @@ def tall_report(row: DataFrame, keys: Sequence[str], catalog: DataFrame, columns
     ``catalog`` has (metric, category, label, unit, region_only).
     """
     wide = row.select(*keys, *(F.col(c).try_cast("double").alias(c) for c in columns))
-    return melt(wide, keys, columns, "metric", "amount").join(F.broadcast(catalog), "metric")
+    return melt(wide, keys, columns, "metric", "amount").join(catalog, "metric")

@@ -71,9 +71,20 @@ def load_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return found
 
 
-def conformed(sources: Mapping[str, DataFrame], town_dim: DataFrame, compat: bool = True) -> dict[str, DataFrame]:
-    """Every source with its region and town codes; one that fails is left out."""
-    made = {n: safely(n, lambda n=n, s=s: conform(s, SOURCES[n], town_dim, compat)) for n, s in sources.items()}
+def conformed(sources: Mapping[str, DataFrame], town_dim: DataFrame, compat: bool = True, out: str | None = None) -> dict[str, DataFrame]:
+    """Every source with its region and town codes; one that fails is left out.
+
+    With ``out`` each is written there within its own step, so a row that
+    cannot be read fails that source and no other.
+    """
+    def step(name: str, source: DataFrame) -> DataFrame:
+        made = conform(source, SOURCES[name], town_dim, compat)
+        if out is None:
+            return made
+        write_parquet(made, f"{out}/{name}")
+        return made.sparkSession.read.parquet(f"{out}/{name}")
+
+    made = {n: safely(n, lambda n=n, s=s: step(n, s)) for n, s in sources.items()}
     return {n: f for n, f in made.items() if f is not None}
 
 
@@ -82,7 +93,7 @@ def build(spark: SparkSession, sources: Mapping[str, DataFrame], out: str, as_of
     town_dim = towns(sources["demografico_edad_sexo"])
     write_parquet(town_dim, f"{out}/geo_maestro")
     town_dim = spark.read.parquet(f"{out}/geo_maestro")
-    frames = conformed(sources, town_dim)
+    frames = conformed(sources, town_dim, out=f"{out}/conformed")
     counts = {}
     for grain, name in (("town", "metricas_municipio"), ("region", "metricas_departamento")):
         counts[name] = safely(name, lambda grain=grain, name=name: write_counted(wide(frames, town_dim, grain, Span(as_of)), f"{out}/{name}"))

@@ -53,7 +53,7 @@ class Place:
         return F.coalesce(self.region, self.fallback) if self.fallback else F.col(self.region)
 
 
-#: Where each source keeps its places.
+#: Where each source keeps its places.
 SOURCES = {
     "demografico_edad_sexo": Place("codigo_dep", "codigo_mun", codes=True),
     "demografico_etnico": Place("codigo_dep", "codigo_mun", codes=True),

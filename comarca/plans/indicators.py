@@ -150,7 +150,7 @@ def _percent() -> Column:
     return to_double(F.col("Cobertura")) * 100
 
 
-#: The registry, in the order of the output columns.
+#: The registry, names and order of the output columns as published.
 GROUPS = (
     Group("demografico_edad_sexo", (
         Measure("pob_hombres", "bigint", _sum_if(lambda: F.col("sexo") == "HOMBRES")),

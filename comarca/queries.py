@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from comarca.functions import numbers, periods, text
 from comarca.operators import aggregate, joins, latest, layout, ordering, reshape, tables
+from comarca.plans import geo, serving
 from comarca.sources import delimited, files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -593,6 +594,144 @@ def header_match(spark, sf):
     return rows.where(tables.header_matches(F.col("cells"), ["Assist"])).groupBy("conv_id").agg(F.min("turn").alias("turn"))
 
 
+# -- places, names of columns, layout, bands ----------------------------------
+
+def _places(spark, sf):
+    """Nations as towns, regions as regions."""
+    joined = _t(spark, sf, "nation").join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return geo.towns(joined.select(F.col("r_regionkey").alias("codigo_dep"), F.col("r_name").alias("nombre_dep"), F.col("n_nationkey").cast("string").alias("codigo_mun"), F.col("n_name").alias("municipio")))
+
+
+def _placed(spark, sf, table, key):
+    """Rows of a table with untidy spellings of their places."""
+    nations = _t(spark, sf, "nation").join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = _t(spark, sf, table).join(nations, F.col(key) == F.col("n_nationkey"))
+    return rows.withColumns({"departamento": F.concat(F.lit("  "), F.lower("r_name")), "municipio": F.when(F.col("n_nationkey") % 7 != 3, F.concat(F.replace("n_name", F.lit(" "), F.lit("-")), F.lit(".")))})
+
+
+@query("""
+SELECT s_suppkey, r_regionkey AS geo_dep_codigo, CASE WHEN n_nationkey % 7 <> 3 THEN n_nationkey END AS geo_mun_codigo,
+       CASE WHEN n_nationkey % 7 <> 3 THEN r_name END AS geo_dep_dane, CASE WHEN n_nationkey % 7 <> 3 THEN n_name END AS geo_mun_dane
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def conform_towns(spark, sf):
+    made = geo.conform(_placed(spark, sf, "supplier", "s_nationkey"), geo.Place("departamento", "municipio"), _places(spark, sf), compat=False)
+    return made.select("s_suppkey", "geo_dep_codigo", "geo_mun_codigo", "geo_dep_dane", "geo_mun_dane")
+
+
+@query("""
+SELECT c_custkey, r_regionkey AS geo_dep_codigo, r_name AS geo_dep_dane
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def conform_regions(spark, sf):
+    made = geo.conform(_placed(spark, sf, "customer", "c_nationkey"), geo.Place("departamento"), _places(spark, sf), compat=False)
+    return made.select("c_custkey", "geo_dep_codigo", "geo_dep_dane")
+
+
+@query("""
+SELECT c_custkey, n_regionkey AS geo_dep_codigo, n_nationkey AS geo_mun_codigo, r_name AS geo_dep_dane, n_name AS geo_mun_dane
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def conform_codes(spark, sf):
+    made = geo.conform(_placed(spark, sf, "customer", "c_nationkey"), geo.Place("n_regionkey", "n_nationkey", codes=True), _places(spark, sf))
+    return made.select("c_custkey", "geo_dep_codigo", "geo_mun_codigo", "geo_dep_dane", "geo_mun_dane")
+
+
+@query("""
+SELECT c_custkey, r_regionkey AS geo_dep_codigo
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def conform_fallback(spark, sf):
+    rows = _placed(spark, sf, "customer", "c_nationkey")
+    entity = rows.withColumns({"entidad": F.when(F.col("c_custkey") % 2 == 0, F.col("departamento")), "departamento": F.when(F.col("c_custkey") % 2 == 1, F.col("departamento"))})
+    return geo.conform(entity, geo.Place("departamento", "municipio", fallback="entidad"), _places(spark, sf), compat=False).select("c_custkey", "geo_dep_codigo")
+
+
+@query("""
+SELECT r_name AS raw_dep, COUNT(DISTINCT n_nationkey) AS n_towns, MIN(n_nationkey) AS first_town
+FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
+def place_bridge(spark, sf):
+    nations = _t(spark, sf, "nation").join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    made = geo.bridge(nations.unionByName(nations), geo.Place("r_name", "n_name"), _places(spark, sf), compat=False)
+    return made.groupBy("raw_dep").agg(F.count(F.lit(1)).alias("n_towns"), F.min("mun_codigo").alias("first_town"))
+
+
+@query("SELECT n_regionkey AS dep_codigo, r_name AS dep_dane FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2")
+def place_regions(spark, sf):
+    return geo.regions(_places(spark, sf))
+
+
+@query("SELECT n_nationkey AS codigo, n_name AS nombre_de_pais, n_regionkey AS region FROM nation")
+def tidy_names(spark, sf):
+    raw = _t(spark, sf, "nation").toDF(" n_nationkey ", "Nombre De Pais", " RegiÓn")
+    named = reshape.renamed_if_present(reshape.trimmed_names(raw), {"n_nationkey": "codigo", "absent": "nothing"})
+    return named.toDF(*text.unique_names([text.ascii_name(text.snake_name(c)) for c in reshape.ordered_unique(named.columns)]))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity >= 30 THEN 3 WHEN l_quantity >= 20 THEN 2 WHEN l_quantity >= 10 THEN 1 ELSE 0 END AS place
+FROM lineitem""")
+def last_start_columns(spark, sf):
+    starts = F.array(*(F.lit(float(x)) for x in (1, 10, 20, 30)))
+    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", layout.last_start(F.col("l_quantity"), starts).alias("place"))
+
+
+@query("""
+SELECT o_custkey, o_orderkey FROM orders
+WHERE (CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) + (CASE WHEN o_orderpriority <> '5-LOW' THEN 1 ELSE 0 END) + 1 >= 2""")
+def filled_cells(spark, sf):
+    cells = F.array(F.when(F.col("o_orderstatus") == "F", "x").otherwise(""), F.when(F.col("o_orderpriority") != "5-LOW", "y").otherwise(""), F.lit("z"))
+    return layout.filled_rows(_t(spark, sf, "orders").withColumn("cells", cells)).select("o_custkey", "o_orderkey")
+
+
+@query("""
+SELECT s_suppkey, CAST(coalesce(CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey END, 0) + s_nationkey AS BIGINT) AS total,
+       s_suppkey % 3 = 0 AS missing, coalesce(CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_suppkey AS DOUBLE) END, -1.0) AS filled
+FROM supplier""")
+def row_sum_default(spark, sf):
+    part = F.when(F.col("s_suppkey") % 3 != 0, F.col("s_suppkey"))
+    return _t(spark, sf, "supplier").select(
+        "s_suppkey", numbers.row_sum([part, F.col("s_nationkey")]).cast("bigint").alias("total"),
+        numbers.is_missing(part.cast("double")).alias("missing"), numbers.or_default(part.cast("string"), -1.0).alias("filled"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_quantity <= 14 THEN 'good' WHEN l_quantity <= 35 THEN 'fair' ELSE 'danger' END AS alert,
+       CASE WHEN l_quantity / 10 < 2 THEN 'low' WHEN l_quantity / 10 < 3 THEN 'fair' WHEN l_quantity / 10 < 3.5 THEN 'good' ELSE 'optimal' END AS average
+FROM lineitem""")
+def alert_bands(spark, sf):
+    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", numbers.water_alert(F.col("l_quantity")).alias("alert"), numbers.average_band(F.col("l_quantity") / 10).alias("average"))
+
+
+@query("""
+SELECT n_name, upper(substr(lower(n_name), 1, 1)) || substr(lower(n_name), 2) || ' 2024' AS label FROM nation WHERE n_nationkey % 2 = 0
+UNION ALL SELECT n_name, 'N/D' FROM nation WHERE n_nationkey % 2 = 1""")
+def label_or_unknown(spark, sf):
+    year = F.when(F.col("n_nationkey") % 2 == 0, 2024)
+    return _t(spark, sf, "nation").select("n_name", text.period_label(F.col("n_name"), year).alias("label"))
+
+
+@query("SELECT COUNT(*) AS n FROM lineitem")
+def global_count(spark, sf):
+    return _t(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW') AND NOT o_orderpriority ILIKE '%low%' AND o_totalprice > 0")
+def membership_and_exclusion(spark, sf):
+    rows = _t(spark, sf, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW") & ~text.contains_any(F.col("o_orderpriority"), ["low"]))
+    return reshape.positive(rows, "o_totalprice").select("o_orderkey", "o_orderpriority")
+
+
+@query("""
+SELECT o_custkey, o_orderkey FROM
+ (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS r FROM orders) WHERE r <= 2""")
+def latest_two_per_key(spark, sf):
+    return ordering.top_k_per(_t(spark, sf, "orders"), ["o_custkey"], [F.desc("o_orderdate"), F.col("o_orderkey")], 2).select("o_custkey", "o_orderkey")
+
+
+@query("SELECT DISTINCT year(o_orderdate) AS year FROM orders UNION SELECT DISTINCT year(l_shipdate) FROM lineitem")
+def available_years(spark, sf):
+    frames = {"afiliacion": _t(spark, sf, "orders").select(F.year("o_orderdate").alias("anio")), "irca": _t(spark, sf, "lineitem").select(F.year("l_shipdate").alias("anio"))}
+    return serving.available_years(frames).select(F.col("year").cast("bigint").alias("year"))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """The shape of the region table: a star of aggregates with the latest-row rollup."""
     rolled = two_level_rollup(spark, sf).withColumnRenamed("c_nationkey", "n_nationkey")

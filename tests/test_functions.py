@@ -41,7 +41,7 @@ def test_coercion(spark, make, raw, want):
 
 
 def test_scores_and_bands(spark):
-    assert column(spark, [0.2, 1.5, 2.5, 9.0, None], "double", numbers.score_label)[:4] == ["Bajo", "En proceso", "En proceso", "Optimo"]
+    assert column(spark, [0.2, 1.5, 2.5, 9.0, None], "double", numbers.score_label) == ["Bajo", "En proceso", "En proceso", "Optimo", None]
     assert column(spark, [0.2, 9.0, None, 3.0], "double", lambda c: numbers.score_label(c, False)) == ["N/D", "N/D", "N/D", "Satisfactorio"]
     assert column(spark, [5.0, 5.1, 35.0, 80.0, 81.0, None], "double", numbers.water_risk) == ["Sin riesgo", "Bajo", "Medio", "Alto", "Inviable", None]
     assert column(spark, [90.0, 89.9, 60.0, 1.0], "double", numbers.coverage_band) == ["Optimo", "Aceptable", "Bajo", "Critico"]
