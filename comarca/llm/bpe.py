@@ -228,14 +228,6 @@ def _codec(shared, digest: str, pattern: str) -> Codec:
     return _worker[digest, pattern]
 
 
-def _codec(shared, digest: str, pattern: str) -> Codec:
-    """The worker's codec for a rank file; it outlives a task with its cache."""
-    if (digest, pattern) not in _worker:
-        _worker.clear()
-        _worker[digest, pattern] = Codec(shared.value, pattern)
-    return _worker[digest, pattern]
-
-
 #: What a pass can return for each text, and how each is made from (ids, decoded bytes).
 OUTPUTS = {
     "n_tokens": (T.LongType(), pa.int64(), lambda ids, raw: len(ids) // 4),

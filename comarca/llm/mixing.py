@@ -14,6 +14,8 @@ Targets are set by water filling over one row per source.
 Defined results: a null text has size 0; a null source is a source, last in
 order; an empty table gives no rows.  Draws depend on row content and the seed
 alone, so reruns agree; rows equal in id, size and source are interchangeable.
+Sources are few (one row each passes through one task when targets are set).
+Columns other than id, source and size do not pass through.
 """
 
 from __future__ import annotations

@@ -7,9 +7,11 @@ pre-tokens and their lengths; tier two is a bounded cache in each Python
 worker, filled by encoding whatever tier one misses with the library itself.
 The corpus is read once, in place: no pre-token of it is ever shuffled.
 
-The broadcast table only saves time.  It comes from ``sample_rows`` texts at
-most (chosen by hash) and holds ``entries`` pre-tokens at most, so its size is
-bounded whatever the corpus; results do not depend on it.
+The broadcast table only saves time.  It comes from some ``sample_rows`` texts
+(chosen by hash of the text: a mean, and a text that is very common is wholly
+in or out; their pre-tokens are counted with map-side combining) and holds
+``entries`` pre-tokens at most, so its size is bounded whatever the corpus;
+results do not depend on it.
 
 Defined results: a null or empty text has 0 tokens; repeated rows are counted
 each; other columns pass through, and one named as the output gives way to it.

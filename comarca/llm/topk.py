@@ -16,7 +16,9 @@ Defined results: vectors that are null, empty or hold a null or non-finite
 component take no part; only vectors of equal length are compared; rows that
 repeat an id are candidates each, but never for a query of their own id, and a
 query row repeated whole is answered once.  With fewer candidates than k, all
-are returned.
+are returned.  Scores are 64-bit: dimensions times the square of the greatest
+``scale * x`` must stay below 2**63.  Columns other than the two named do not
+pass through.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ could have - label-aligned host suffixes times path prefixes - and the first
 four bytes of each expression's SHA-256 are equi-joined with those of the
 rules.  The few pairs that meet are confirmed on the whole digest, and the
 longest rule of a URL wins (of two equally long, the one with the longer host,
-then the smaller text).  The suffix and prefix lengths that are tried are those
+then the greater text; of one rule with two verdicts, the greater word, so that
+``block`` wins over ``allow``).  The suffix and prefix lengths that are tried are those
 the rule table has, so the expansion is exact and stays narrow.  Rules are
 broadcast only if Spark's own size check allows it; else the join shuffles on
 the hash prefix, which spreads hot hosts only as far as their expressions

@@ -2,7 +2,9 @@
 
 Each stage is one operator of :mod:`comarca.llm` over all that its predecessor
 kept; what a stage returns is written as Parquet and read again before the
-next.  All stages but the last return the columns of ``documents``.
+next.  All stages but the last return the columns of ``documents``; columns
+beyond those are dropped by them, whatever their names, and pass the last.  An
+empty table gives no rows in any stage.
 """
 
 from __future__ import annotations
@@ -24,13 +26,20 @@ def _row_keys() -> dict[str, Column]:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the others keep their passing lines."""
+    """Rejected documents go; the others keep their passing lines.
+
+    Null, empty and short texts are rejected; repeated rows are judged each.
+    """
     judged = quality.judge(docs, keep_text=True).where("kept")
     return judged.withColumn("text", F.col("cleaned")).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
+    """One document of each group of near copies stays: the one with the smallest id.
+
+    Null ids come last; null, empty and blank texts are one group; of rows that
+    repeat whole in id and text one stays.
+    """
     keyed = docs.withColumns(_row_keys())
     grouped = near_copies.near_copies(keyed, ("_k", "_l"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_k", "_l"))
@@ -39,12 +48,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets become their kind in brackets; every document stays."""
+    """Secrets become their kind in brackets; every document stays, a null text as ''."""
     return secret_scan.scan(docs, redact=True).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it."""
+    """Each document as many times as the mix takes it; rows that repeat share their copies."""
     whole = [*COLUMNS, *(F.col(c).isNull() for c in COLUMNS)]
     keyed = docs.withColumn("_k", F.concat(F.hex(F.xxhash64(*whole)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *whole))))
     mixed = mixing.mix(mixing.sizes(keyed, id_col="_k"), id_col="_k").groupBy("_k").agg(F.sum("copies").alias("copies")).where("copies > 0")
@@ -53,7 +62,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, with the digest of what they decode to."""
+    """Token ids of each text, with the digest of what they decode to; none for null and empty texts."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode(docs, path, public_tokenizers.PATTERN, outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
 
