@@ -132,10 +132,10 @@ def marked(docs: DataFrame, text_col: str, n: int) -> DataFrame:
 
 
 def _met(nodes: DataFrame) -> DataFrame:
-    """(key, node, ``TOLD``) of every key that two nodes and more have."""
-    keyed = nodes.select(F.explode("keys").alias("key"), "node", *TOLD)
+    """(key, node, ``TOLD``) of every key that two nodes and more have; ``TOLD`` joins those few."""
+    keyed = nodes.select(F.explode("keys").alias("key"), "node")
     shared = keyed.groupBy("key").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a < _b").select("key")
-    return keyed.join(durable(shared, "near-keys"), "key")
+    return durable(keyed.join(durable(shared, "near-keys"), "key"), "near-keyed").join(nodes.select("node", *TOLD), "node")
 
 
 def _round(members: DataFrame, hubs: int, turn: int) -> DataFrame | None:
