@@ -205,7 +205,9 @@ def near_copies(docs: DataFrame, row_key: tuple[str, str], id_col: str = "doc_id
     rows = durable(marked(docs.select(id_col, text_col, *row_key), text_col, n), "near-nodes")
     nodes = durable(rows.groupBy("node").agg(F.min(F.struct(*row_key, *TOLD, "keys")).alias("r")).select("node", "r.*"), "near-distinct")
     met = durable(_met(nodes), "near-met")
-    texts = docs.select(*row_key, F.col(text_col).alias("text")).join(nodes.select("node", *row_key).join(met.select("node").distinct(), "node", "left_semi"), row_key)
+    # written first, so that Spark knows the size of the narrow side before it moves any text
+    wanted = durable(nodes.select("node", *row_key).join(met.select("node").distinct(), "node", "left_semi"), "near-wanted")
+    texts = docs.select(*row_key, F.col(text_col).alias("text")).join(wanted, row_key)
     sets = durable(_sets(texts.dropDuplicates(["node"]), n), "near-sets")
     left, right = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"_{c}")) for c in "ab")
     both = F.size(F.array_intersect("_a", "_b"))
@@ -214,7 +216,8 @@ def near_copies(docs: DataFrame, row_key: tuple[str, str], id_col: str = "doc_id
     opened, turn = _round(met.withColumn("comp", F.col("node")), HUBS, 0), 0
     while opened is not None:
         pairs = durable(candidates(opened, least), "near-pairs")
-        links = pairs.join(left, "a").join(right, "b").where(alike).select("a", "b")
+        needed = right.join(pairs.select("b"), "b", "left_semi")
+        links = pairs.join(left, "a").join(needed, "b").where(alike).select("a", "b")
         forest = components(forest.unionByName(links)).select(F.col("node").alias("a"), F.col("root").alias("b"))
         rest, turn = opened.where("NOT hub").drop("comp", "hub", "keys"), turn + 1
         named = rest.join(forest, F.col("node") == F.col("a"), "left").withColumn("comp", F.coalesce("b", "node")).drop("a", "b")

@@ -43,8 +43,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = docs.withColumns(_row_keys())
     grouped = near_copies.near_copies(keyed, ("_k", "_l"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_k", "_l"))
-    stays = grouped.groupBy("group").agg(first.alias("f")).select("f._k", "f._l")
-    return keyed.join(stays, ["_k", "_l"], "left_semi").dropDuplicates(["_k", "_l"]).select(*COLUMNS)
+    stays = grouped.groupBy("group").agg(first.alias("f")).select("f._k", "f._l", F.lit(True).alias("_stays"))
+    times = grouped.groupBy("_k", "_l").agg(F.count(F.lit(1)).alias("_n"))
+    # only what goes or repeats is held against the texts; the rest passes as it is
+    changed = durable(times.join(stays, ["_k", "_l"], "left").where("_stays IS NULL OR _n > 1"), "near-changed")
+    single = keyed.join(changed, ["_k", "_l"], "left_anti")
+    repeated = keyed.join(changed.where("_stays"), ["_k", "_l"], "left_semi").dropDuplicates(["_k", "_l"])
+    return single.unionByName(repeated).select(*COLUMNS)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
