@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+#: Bits of a sieve: 2,048 bitmaps of 4 KiB (8 MiB), whatever the data.
+SIEVE_BITS = 1 << 26
+
 #: A word is a maximal run of anything but these six characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
@@ -54,6 +57,29 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sieve_mark(rows: DataFrame, key: str, among: DataFrame, flag: str = "_may") -> DataFrame:
+    """``rows`` with ``flag``, false only where ``among``, which is stored, surely lacks the ``key`` (long).
+
+    The keys of ``among`` are folded into a bitmap of ``SIEVE_BITS`` bits, which
+    is broadcast: its size is bounded by that number, not by the data.  The more
+    keys, the more other rows are marked; a join after it gives the exact
+    result, and moves fewer rows.  A null key is never marked.
+    """
+    place = F.pmod(F.col(key), F.lit(SIEVE_BITS)) + 1
+    places = among.select(place.alias("_place")).withColumn("_bucket", F.bitmap_bucket_number("_place")).repartition("_bucket")
+    bits = places.groupBy("_bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
+    at = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0, F.lit(False))
+    placed = rows.withColumn("_place", place).withColumn("_bucket", F.bitmap_bucket_number("_place"))
+    return placed.join(F.broadcast(bits), "_bucket", "left").withColumn(flag, hit).select(*rows.columns, flag)
+
+
+def sieve(rows: DataFrame, key: str, among: DataFrame) -> DataFrame:
+    """``rows`` but for those whose ``key`` is surely not in ``among``; see :func:`sieve_mark`."""
+    return sieve_mark(rows, key, among).where("_may").drop("_may")
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; null and blank texts give an empty array."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS), "")

@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import durable
+from .common import durable, sieve
 from .simhash import GolayKeys, components, shingles
 
 HUBS = 4
@@ -132,28 +132,34 @@ def marked(docs: DataFrame, text_col: str, n: int) -> DataFrame:
 
 
 def _met(nodes: DataFrame) -> DataFrame:
-    """(key, node, ``TOLD``) of every key that two nodes and more have; ``TOLD`` joins those few."""
+    """(key, node, n, ``TOLD``) of every key that two nodes and more have; ``n`` counts a key's nodes."""
     keyed = nodes.select(F.explode("keys").alias("key"), "node")
-    shared = keyed.groupBy("key").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a < _b").select("key")
-    return durable(keyed.join(durable(shared, "near-keys"), "key"), "near-keyed").join(nodes.select("node", *TOLD), "node")
+    shared = durable(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-keys")
+    return durable(sieve(keyed, "key", shared).join(shared, "key"), "near-keyed").join(nodes.select("node", *TOLD), "node")
+
+
+def _first_round(met: DataFrame) -> DataFrame:
+    """Members as :func:`_round` gives them while every node is a component of its own: all keys are open."""
+    drawn = F.pmod(F.xxhash64(F.lit(0), "key", "node"), F.col("n") - 1) < HUBS
+    return met.select("key", "node", F.col("node").alias("comp"), drawn.alias("hub"), F.lit(None).cast("array<long>").alias("keys"), *TOLD)
 
 
 def _round(members: DataFrame, hubs: int, turn: int) -> DataFrame | None:
     """Members (key, node, comp, ``TOLD``) of the keys whose nodes are not of one component yet.
 
-    ``hub`` tells the nodes to compare with the others of a key.  In the first
-    turn, and while a key is crowded, that is about ``hubs`` for each key (all
-    where it has no more); then every node outside the largest component of
-    one of its keys, which ``keys`` lists.
+    ``hub`` tells the nodes to compare with the others of a key.  While a key
+    is crowded, that is about ``hubs`` for each key (all where it has no more);
+    then every node outside the largest component of one of its keys, which
+    ``keys`` lists.
     """
     sizes = members.groupBy("key", "comp").count()
     most = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("most"), (F.sum("count") - F.max("count")).alias("rest"))
     open_ = durable(most.where("rest > 0"), "near-open")
     if (largest := open_.agg(F.max("rest")).first()[0]) is None:
         return None
-    joined = members.drop("hub", "keys").join(open_, "key")
+    joined = sieve(members, "key", open_).join(open_, "key")
     outside = F.col("comp") != F.col("most")
-    if turn == 0 or largest > CROWDED:
+    if largest > CROWDED:
         drawn = F.pmod(F.xxhash64(F.lit(turn), "key", "node"), F.col("rest")) < hubs
         return durable(joined.select("key", "node", "comp", (outside & drawn).alias("hub"), F.lit(None).cast("array<long>").alias("keys"), *TOLD), "near-members")
     joined = durable(joined.withColumn("outside", outside), "near-outside")
@@ -205,19 +211,18 @@ def near_copies(docs: DataFrame, row_key: tuple[str, str], id_col: str = "doc_id
     rows = durable(marked(docs.select(id_col, text_col, *row_key), text_col, n), "near-nodes")
     nodes = durable(rows.groupBy("node").agg(F.min(F.struct(*row_key, *TOLD, "keys")).alias("r")).select("node", "r.*"), "near-distinct")
     met = durable(_met(nodes), "near-met")
-    # written first, so that Spark knows the size of the narrow side before it moves any text
+    # written first, so that what is narrow can sieve the texts before any of them moves
     wanted = durable(nodes.select("node", *row_key).join(met.select("node").distinct(), "node", "left_semi"), "near-wanted")
-    texts = docs.select(*row_key, F.col(text_col).alias("text")).join(wanted, row_key)
-    sets = durable(_sets(texts.dropDuplicates(["node"]), n), "near-sets")
+    texts = sieve(docs.select(*row_key, F.col(text_col).alias("text")), row_key[0], wanted).dropDuplicates(row_key).join(wanted.hint("merge"), row_key)
+    sets = durable(_sets(texts, n), "near-sets")
     left, right = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"_{c}")) for c in "ab")
     both = F.size(F.array_intersect("_a", "_b"))
     alike = both * least[1] >= (F.size("_a") + F.size("_b") - both) * least[0]
     forest = durable(met.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false"), "near-links")
-    opened, turn = _round(met.withColumn("comp", F.col("node")), HUBS, 0), 0
+    opened, turn = _first_round(met), 0
     while opened is not None:
         pairs = durable(candidates(opened, least), "near-pairs")
-        needed = right.join(pairs.select("b"), "b", "left_semi")
-        links = pairs.join(left, "a").join(needed, "b").where(alike).select("a", "b")
+        links = pairs.hint("merge").join(sieve(left, "a", pairs), "a").join(sieve(right, "b", pairs).hint("merge"), "b").where(alike).select("a", "b")
         forest = components(forest.unionByName(links)).select(F.col("node").alias("a"), F.col("root").alias("b"))
         rest, turn = opened.where("NOT hub").drop("comp", "hub", "keys"), turn + 1
         named = rest.join(forest, F.col("node") == F.col("a"), "left").withColumn("comp", F.coalesce("b", "node")).drop("a", "b")

@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from comarca.llm import bpe, mixing, near_copies, quality, secret_scan
-from comarca.llm.common import durable, table
+from comarca.llm.common import durable, sieve_mark, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -40,15 +40,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null ids come last; null, empty and blank texts are one group; of rows that
     repeat whole in id and text one stays.
     """
-    keyed = docs.withColumns(_row_keys())
+    keyed = docs.select(*COLUMNS).withColumns(_row_keys())
     grouped = near_copies.near_copies(keyed, ("_k", "_l"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_k", "_l"))
     stays = grouped.groupBy("group").agg(first.alias("f")).select("f._k", "f._l", F.lit(True).alias("_stays"))
     times = grouped.groupBy("_k", "_l").agg(F.count(F.lit(1)).alias("_n"))
     # only what goes or repeats is held against the texts; the rest passes as it is
     changed = durable(times.join(stays, ["_k", "_l"], "left").where("_stays IS NULL OR _n > 1"), "near-changed")
-    single = keyed.join(changed, ["_k", "_l"], "left_anti")
-    repeated = keyed.join(changed.where("_stays"), ["_k", "_l"], "left_semi").dropDuplicates(["_k", "_l"])
+    sifted = sieve_mark(keyed, "_k", changed)
+    held = sifted.where("_may")
+    single = held.join(changed.hint("merge"), ["_k", "_l"], "left_anti")
+    repeated = held.dropDuplicates(["_k", "_l"]).join(changed.where("_stays").hint("merge"), ["_k", "_l"], "left_semi")
+    single = sifted.where("NOT _may").unionByName(single)
     return single.unionByName(repeated).select(*COLUMNS)
 
 
