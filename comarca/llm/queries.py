@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, quality, secret_scan, shards, simhash, suffixes, token_counts, topk, urls
+from . import bpe, divergence, mixing, quality, secret_scan, shards, simhash, suffixes, token_counts, topk, urls, variants
 from .common import table
 
 #: Rules of the URL query: verdict, host, path.
@@ -72,6 +72,15 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = variants.word_counts(table(spark, sf_dir, "documents"), typo_every=199)
+    return variants.group_variants(counts).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_top_k": op2_exact_top_k,
@@ -83,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_secret_scan": op10_secret_scan,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -122,4 +133,36 @@ ruled AS (
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled""",
+    # texts as terms, every kept term of a language for every source, all in whole numbers
+    "op13_source_divergence": r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(ts) AS term FROM d) GROUP BY ALL),
+df AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(ts)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 3),
+k AS (SELECT c.lang, c.term, CAST(sum(n) AS BIGINT) AS ln FROM c JOIN df ON df.lang = c.lang AND df.term = c.term GROUP BY ALL),
+l AS (SELECT lang, count(*) AS v, sum(ln) AS m FROM k GROUP BY ALL),
+full_ AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.ln, l.v, l.m
+  FROM g JOIN k ON k.lang = g.lang JOIN l ON l.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (
+  SELECT lang, source, term, n,
+         1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + v) AS p,
+         1 + (1000000000::HUGEINT * (ln + 1)) // (m + v) AS q
+  FROM full_),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+WHERE part = 'pair' OR rank <= 200""",
 }
