@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, divergence, mixing, quality, secret_scan, shards, simhash, suffixes, token_counts, topk, urls, variants
+from . import bpe, divergence, mixing, private_data, quality, secret_scan, shards, simhash, suffixes, token_counts, topk, urls, variants
 from .common import table
 
 #: Rules of the URL query: verdict, host, path.
@@ -77,6 +77,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(counts).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op12_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = private_data.scan(docs, model=private_data.fit(docs))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_secret_scan": op10_secret_scan,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_private_data": op12_private_data,
     "op13_source_divergence": op13_source_divergence,
 }
 
