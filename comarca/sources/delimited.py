@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from comarca.functions.text import unique_names
 
@@ -24,18 +27,94 @@ def read_strings(spark: SparkSession, path, sep: str = ",", encoding: str = "UTF
     return spark.read.csv(path, header=True, inferSchema=False, sep=sep, encoding=encoding, mode="PERMISSIVE")
 
 
+_FIRST = "_first"
+
+
+def lines_by_file(spark: SparkSession, path) -> DataFrame:
+    """(path, line binary, _first boolean) of every non-empty line of every file, in one scan.
+
+    Lines are bytes, whatever their encoding (of those that keep ASCII as it is); ``_first`` marks a file's first.
+    """
+    where = F.col("_metadata.file_path").alias("path")
+    lines = spark.read.text(path).select(where, F.col("value").cast("binary").alias("line"), F.col("_metadata.file_block_start").alias("start"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a split's lines come in order, and a task's splits one after the other
+        last = None
+        for batch in batches:
+            names, starts = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            first = []
+            for name, start in zip(names, starts):
+                first.append(start == 0 and name != last)
+                last = name
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(first, pa.bool_())], ["path", "line", _FIRST])
+
+    return lines.mapInArrow(run, f"path string, line binary, {_FIRST} boolean").where(f"octet_length(line) > 0 OR {_FIRST}")
+
+
+def _sniffed(line: bytes, dialects: tuple[Dialect, ...], least: int) -> tuple[Dialect, list[str]] | None:
+    """The first dialect that gives a header of ``least`` names, and the names."""
+    for dialect in dialects:
+        try:
+            text = line.removeprefix(b"\xef\xbb\xbf").decode(dialect.encoding)
+        except UnicodeDecodeError:
+            continue
+        names = next(csv.reader([text], delimiter=dialect.sep), [])
+        if len(names) >= least:
+            return dialect, unique_names([n.strip().strip("\ufeff") for n in names])
+    return None
+
+
+def headers(lines: DataFrame, dialects: tuple[Dialect, ...] = DIALECTS, least: int = 6) -> DataFrame:
+    """(path, sep, encoding, names array) of every file, found in tasks from its first line; nulls where no dialect fits."""
+    schema = "path string, sep string, encoding string, names array<string>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_sniffed(line, dialects, least) for line in batch.column(1).to_pylist()]
+            cols = [[f and f[0].sep for f in found], [f and f[0].encoding for f in found], [f and f[1] for f in found]]
+            kinds = (pa.string(), pa.string(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))], ["path", "sep", "encoding", "names"])
+
+    return lines.where(_FIRST).select("path", "line").mapInArrow(run, schema)
+
+
+def read_mixed(spark: SparkSession, path, dialects: tuple[Dialect, ...] = DIALECTS, least: int = 6, found: DataFrame | None = None) -> DataFrame:
+    """Files of different dialects and headers as one table of strings with ``path``.
+
+    Each file is read by its own dialect and header, all in one scan; quotes
+    are honoured inside a line.  A column that a file lacks is null, and so are
+    fields beyond its header.  A file that no dialect fits is an error that
+    names it.  ``found`` is :func:`headers` of the files, where it is stored.
+    """
+    lines = lines_by_file(spark, path)
+    found = headers(lines, dialects, least) if found is None else found
+    shapes = found.groupBy("sep", "encoding", "names").agg(F.min("path").alias("path")).collect()  # as many as there are layouts
+    if unread := [r.path for r in shapes if r.names is None]:
+        raise ValueError(f"no dialect gives {least} columns: {unread}")
+    columns = list(dict.fromkeys(n for r in sorted(shapes, key=lambda r: r.path) for n in r.names))
+    width = max((len(r.names) for r in shapes), default=0)
+    fields = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(width)])
+    cells = F.lit(None).cast(T.ArrayType(T.StringType()))
+    for sep, encoding in {(r.sep, r.encoding) for r in shapes}:
+        text = F.decode("line", encoding)
+        parsed = F.from_csv(text, fields.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {"sep": sep, "mode": "PERMISSIVE"})
+        row = F.array(*(parsed[f"f{i}"] for i in range(width)))
+        cells = F.when((F.col("sep") == sep) & (F.col("encoding") == encoding), row).otherwise(cells)
+    rows = lines.where(f"NOT {_FIRST}").join(found, "path").select("path", "names", cells.alias("cells"))
+    # a name's place in the file's own header
+    return rows.select("path", *(F.get("cells", (F.array_position("names", F.lit(c)) - 1).cast("int")).alias(c) for c in columns))
+
+
 def first_line(spark: SparkSession, path, encoding: str) -> str:
-    """Header line of a file, without a byte-order mark."""
-    lines = spark.read.option("encoding", encoding).csv(path, sep="\u0001", quote="").limit(1).collect()
-    return ((lines[0][0] if lines else "") or "").lstrip("﻿").removeprefix("ï»¿")
+    """Header line of the first file by name, without a byte-order mark."""
+    row = lines_by_file(spark, path).where(_FIRST).select("path", F.decode("line", encoding).alias("line")).orderBy("path").first()
+    return (row.line if row else "").lstrip("\ufeff").removeprefix("ï»¿")
 
 
 def read_probed(spark: SparkSession, path, dialects: tuple[Dialect, ...] = DIALECTS, least: int = 6) -> DataFrame:
-    """Read by the first dialect whose header has ``least`` columns or more."""
-    for dialect in dialects:
-        if len(first_line(spark, path, dialect.encoding).split(dialect.sep)) >= least:
-            return read_strings(spark, path, dialect.sep, dialect.encoding)
-    raise ValueError(f"no dialect gives {least} columns: {path}")
+    """Files by their own dialects, without their paths; see :func:`read_mixed`."""
+    return read_mixed(spark, path, dialects, least).drop("path")
 
 
 def fitted(line: Column, sep: str, width: int) -> list[Column]:
@@ -56,7 +135,7 @@ def fit_lines(lines: DataFrame, header: str, sep: str | None = None, line_col: s
 
 
 def read_tolerant(spark: SparkSession, path, sep: str | None = None, encoding: str = "ISO-8859-1") -> DataFrame:
-    """Rows of a delimited file, none lost: long rows glued, short rows padded."""
+    """Rows of delimited files of one header, none lost: long rows glued, short rows padded."""
     header = first_line(spark, path, encoding)
-    lines = spark.read.option("encoding", encoding).csv(path, sep="\u0001", quote="", header=True, schema="value string", enforceSchema=True)
-    return fit_lines(lines.where(F.length("value") > 0), header, sep)
+    lines = lines_by_file(spark, path).where(f"NOT {_FIRST}").select(F.decode("line", encoding).alias("value"))
+    return fit_lines(lines, header, sep)

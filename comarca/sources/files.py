@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from .lattice import read_drifting
+
 
 def register_table(spark: SparkSession, name: str, path) -> DataFrame:
     """One Parquet path as a temporary view."""
@@ -51,17 +53,11 @@ def union_by_name(frames: list[DataFrame], strings: bool = True) -> DataFrame:
 
 
 def read_union_by_name(spark: SparkSession, pattern: str) -> DataFrame | None:
-    """Files of different columns and types as one table.
+    """Files of different columns and types as one table, each column in the type that all fit.
 
-    Files are grouped by schema (a footer read each), one scan a group.
+    Footers are read in one job, files scanned once for each layout.
     """
-    groups: dict[str, list[str]] = {}
-    for path, _ in list_files(spark, pattern):
-        groups.setdefault(spark.read.parquet(path).schema.simpleString(), []).append(path)
-    if not groups:
-        return None
-    frames = [spark.read.parquet(*paths) for paths in groups.values()]
-    return frames[0] if len(frames) == 1 else union_by_name(frames)
+    return read_drifting(spark, [f for f, _ in list_files(spark, pattern)])
 
 
 def with_snapshot(df: DataFrame, pattern: str = r"(\d{4}_\d{2})") -> DataFrame:

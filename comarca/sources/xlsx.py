@@ -8,10 +8,14 @@ bytes from ``binaryFile``.
 
 from __future__ import annotations
 
+import array
+import functools
 import glob
 import io
+import itertools
 import os
 import re
+import tempfile
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -22,6 +26,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+#: Rows of a batch, and shared strings a task holds.
+_BATCH, _HELD = 2048, 8192
 SCHEMA = "path string, sheet string, row_no int, cells array<string>"
 
 
@@ -49,10 +55,43 @@ def _text(node) -> str:
     return "".join(t.text or "" for t in node.iter(f"{_MAIN}t"))
 
 
+class _Shared:
+    """The shared strings of a workbook, in a scratch file private to the task, found by their offsets."""
+
+    def __init__(self, book: zipfile.ZipFile):
+        self.file, self.starts = tempfile.TemporaryFile(), array.array("q", [0])
+        if "xl/sharedStrings.xml" in book.namelist():
+            with book.open("xl/sharedStrings.xml") as xml:
+                for node in _ended(xml, f"{_MAIN}si"):
+                    self.file.write(_text(node).encode())
+                    self.starts.append(self.file.tell())
+
+    def __getitem__(self, i: int) -> str:
+        self.file.seek(self.starts[i])
+        return self.file.read(self.starts[i + 1] - self.starts[i]).decode()
+
+
+def _ended(xml, tag: str) -> Iterator[ElementTree.Element]:
+    """Elements of a tag as they end; what is behind them is dropped from the tree."""
+    above: list = []
+    for event, node in ElementTree.iterparse(xml, ("start", "end")):
+        if event == "start":
+            above.append(node)
+            continue
+        above.pop()
+        if node.tag == tag:
+            yield node
+            if above:
+                above[-1].clear()
+
+
 def sheet_rows(data: bytes, sheet: str | int | None = None, first_row: int = 1) -> Iterator[tuple[str, int, list]]:
-    """(sheet, row number, cells) of a sheet by name or place; None: the active one."""
+    """(sheet, row number, cells) of a sheet by name or place; None: the active one.
+
+    Rows are read one by one: beside the packed file a task holds one row, eight
+    bytes for each shared string, and the last thousands of these.
+    """
     with zipfile.ZipFile(io.BytesIO(workbook_in(data))) as book:
-        names = book.namelist()
         root = ElementTree.fromstring(book.read("xl/workbook.xml"))
         links = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
         sheets = [(s.get("name"), links[s.get(_LINK)]) for s in root.iter(f"{_MAIN}sheet")]
@@ -62,14 +101,14 @@ def sheet_rows(data: bytes, sheet: str | int | None = None, first_row: int = 1)
         picked = sheets[sheet] if isinstance(sheet, int) else next((s for s in sheets if s[0] == sheet), None)
         if picked is None:
             raise ValueError(f"no sheet named {sheet!r}")
-        shared = [_text(s) for s in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{_MAIN}si")] if "xl/sharedStrings.xml" in names else []
+        shared = functools.lru_cache(maxsize=_HELD)(_Shared(book).__getitem__)
         target = picked[1].lstrip("/")
         with book.open(target if target.startswith("xl/") else f"xl/{target}") as file:
             number = 0
-            for _, node in ElementTree.iterparse(file):
-                if node.tag != f"{_MAIN}row":
-                    continue
+            for node in _ended(file, f"{_MAIN}row"):
                 number = int(node.get("r", number + 1))
+                if number < first_row:
+                    continue
                 cells: list = []
                 for cell in node.iter(f"{_MAIN}c"):
                     at = column_number(cell.get("r")) if cell.get("r") else len(cells)
@@ -78,10 +117,8 @@ def sheet_rows(data: bytes, sheet: str | int | None = None, first_row: int = 1)
                     if kind == "inlineStr":
                         cells[at] = _text(cell)
                     elif value is not None and value.text is not None:
-                        cells[at] = shared[int(value.text)] if kind == "s" else value.text
-                if number >= first_row:
-                    yield picked[0], number, cells
-                node.clear()
+                        cells[at] = shared(int(value.text)) if kind == "s" else value.text
+                yield picked[0], number, cells
 
 
 def _option(value: str | None) -> str | int | None:
@@ -89,6 +126,8 @@ def _option(value: str | None) -> str | int | None:
 
 
 class XlsxReader(DataSourceReader):
+    """A partition for each workbook; files of the driver's and the executors' shared paths only."""
+
     def __init__(self, options):
         self.path, self.sheet, self.first = options["path"].removeprefix("file:"), _option(options.get("sheet")), int(options.get("firstRow", 1))
 
@@ -120,17 +159,22 @@ def register(spark: SparkSession) -> None:
 
 
 def read_rows(spark: SparkSession, path, sheet: str | int | None = None, first_row: int = 1) -> DataFrame:
-    """Rows of every workbook, or zipped workbook, under any path Spark can read."""
+    """Rows of every workbook, or zipped workbook, under any path Spark can read.
+
+    A workbook is a task's; its rows leave it in batches of ``_BATCH``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.list_(pa.string()))
         for batch in batches:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = [(name, *row) for row in sheet_rows(data, sheet, first_row)]
-                kinds = (pa.string(), pa.string(), pa.int32(), pa.list_(pa.string()))
-                cols = list(zip(*rows)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["path", "sheet", "row_no", "cells"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, SCHEMA)
+            for i in range(batch.num_rows):
+                name, rows = batch.column(0)[i].as_py(), sheet_rows(batch.column(1)[i].as_py(), sheet, first_row)
+                while part := [(name, *row) for row in itertools.islice(rows, _BATCH)]:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], ["path", "sheet", "row_no", "cells"])
+
+    paths = [path] if isinstance(path, str) else list(path)
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return files.mapInArrow(run, SCHEMA)
 
 
 def fixed_width(rows: DataFrame, names: list[str], key_cell: int = 1) -> DataFrame:
