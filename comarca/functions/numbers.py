@@ -117,6 +117,11 @@ def water_alert(value: Column) -> Column:
     return F.when(good & (value <= 14), "good").when(good & (value <= 35), "fair").otherwise("danger")
 
 
+def coverage_alert(value: Column) -> Column:
+    """Good from 90 on, else fair; 0 and null count as missing: fair."""
+    return F.when((F.coalesce(value, F.lit(0)) != 0) & (value >= 90), "good").otherwise("fair")
+
+
 def average_band(score: Column) -> Column:
     """Bands of an average score: below 2, 3, 3.5, and above."""
     return F.when(score.isNull() | (score == 0), "optimal").when(score < 2, "low").when(score < 3, "fair").when(score < 3.5, "good").otherwise("optimal")

@@ -61,3 +61,11 @@ def month_of_file(name: Column) -> Column:
 
 def stamp(day: Column) -> Column:
     return F.date_format(day, "yyyy_MM")
+
+
+def period_of_file(name: Column) -> Column:
+    """struct(month, year) from a month's name or its first three letters before a year, as in cifras-oct2025.zip; nulls for others."""
+    by_start = {m[:3].lower(): m for m in MONTHS}
+    pattern = rf"(?i)({'|'.join(by_start)})[a-z]*[-_ ]?((?:19|20)\d\d)"
+    table = F.create_map(*(F.lit(x) for pair in by_start.items() for x in pair))
+    return F.struct(F.try_element_at(table, F.lower(F.regexp_extract(name, pattern, 1))).alias("month"), F.regexp_extract(name, pattern, 2).try_cast("int").alias("year"))

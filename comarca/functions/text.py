@@ -114,13 +114,26 @@ def ascii_name(name: object) -> str:
     return re.sub(r"[^a-z0-9_]", "", text) or "col"
 
 
-def unique_names(names: list[str], mark: str = ".") -> list[str]:
-    """Later repeats get ``mark`` and a count; a name that this makes is not reused."""
+def unique_names(names: list[str], mark: str = ".", fold: bool = False) -> list[str]:
+    """Later repeats get ``mark`` and a count; a name that this makes is not reused.
+
+    With ``fold`` names that differ in case only count as repeats, as they do in SQL.
+    """
     out: list[str] = []
+    used: set[str] = set()
     for name in names:
         candidate, n = name, 0
-        while candidate in out:
+        while (candidate.lower() if fold else candidate) in used:
             n += 1
             candidate = f"{name}{mark}{n}"
+        used.add(candidate.lower() if fold else candidate)
         out.append(candidate)
     return out
+
+
+def by_spelling(names: list[str]) -> dict[str, list[str]]:
+    """Names that differ in case only, under the first of them."""
+    groups: dict[str, list[str]] = {}
+    for name in names:
+        groups.setdefault(name.lower(), []).append(name)
+    return {g[0]: g for g in groups.values()}

@@ -75,3 +75,17 @@ def mapped(value: Column, table: Mapping) -> Column:
 
 def mapped_or_self(value: Column, table: Mapping) -> Column:
     return F.coalesce(mapped(value, table), value)
+
+
+def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], value: str, low: str, high: str, width: float) -> DataFrame:
+    """Points with every interval of their keys that holds their value, both ends included.
+
+    An equi-join on the keys and bins of ``width``: an interval goes to each
+    bin it touches, a point to its own, so only near ones meet.  Choose a width
+    about as long as an interval.  Null values and ends match nothing.
+    """
+    bin_of = lambda c: F.floor(F.col(c) / F.lit(width)).cast("long")
+    whole = intervals.where(F.col(low) <= F.col(high))
+    binned = whole.withColumn("_bin", F.explode(F.sequence(bin_of(low), bin_of(high))))
+    met = points.withColumn("_bin", bin_of(value)).join(binned, [*keys, "_bin"])
+    return met.where(F.col(value).between(F.col(low), F.col(high))).drop("_bin")

@@ -1,15 +1,17 @@
 """Words with places on a page to rows of cells.
 
 Input words have (page keys..., ``x0`` double, ``top`` double, ``text``
-string).  A page is small, so lines are folded inside a page's array; pages
-are what is spread over the executors.
+string).  Pages are what is spread over the executors; a page's words pass its
+task in order, a batch at a time, so a page of any size takes bounded memory.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def anchored_groups(values: Column, tolerance: float) -> Column:
@@ -27,12 +29,38 @@ def anchored_groups(values: Column, tolerance: float) -> Column:
 
 
 def word_lines(words: DataFrame, page: Sequence[str], tolerance: float) -> DataFrame:
-    """Words with their ``line`` number on the page, from the top."""
-    sorted_words = F.array_sort(F.collect_list(F.struct("top", "x0", "text")))
-    paged = words.groupBy(*page).agg(sorted_words.alias("_w"))
-    lined = paged.withColumn("_l", anchored_groups(F.transform("_w", lambda w: w["top"].cast("double")), tolerance))
-    pairs = lined.select(*page, F.explode(F.arrays_zip("_w", "_l")).alias("_p"))
-    return pairs.select(*page, F.col("_p._l").alias("line"), F.col("_p._w.x0").alias("x0"), F.col("_p._w.top").alias("top"), F.col("_p._w.text").alias("text"))
+    """Words with their ``line`` number on the page, from the top; see :func:`anchored_groups` for where a line starts.
+
+    Sorted words stream through a page's task; what goes from one batch to the
+    next is the page, the first top of its running line, and the line's number.
+    A word without a top is a line of its own, before the others.
+    """
+    plain = words.select(*page, F.col("x0"), F.col("top").cast("double").alias("_top"), "top", "text")
+    ordered = plain.repartition(*page).sortWithinPartitions(*page, "_top", "x0", "text")
+    schema = ordered.select(*page).schema.add("line", T.IntegerType())
+    for c in ("x0", "top", "text"):
+        schema = schema.add(ordered.schema[c])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, anchor, line = None, np.nan, -1
+        for batch in batches:
+            column = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: B023, E731
+            keys = list(zip(*(column(c).to_pylist() for c in page)))
+            tops = np.array([np.nan if t is None else t for t in column("_top").to_pylist()], dtype=float)
+            lines, i = np.empty(len(tops), dtype=np.int32), 0
+            while i < len(tops):
+                if keys[i] != now:
+                    now, anchor, line = keys[i], np.nan, -1
+                if np.isnan(anchor) or tops[i] - anchor > tolerance:
+                    anchor, line = tops[i], line + 1
+                end = i + 1
+                while end < len(tops) and keys[end] == now and tops[end] - anchor <= tolerance:
+                    end += 1
+                lines[i:end] = line
+                i = end
+            yield pa.RecordBatch.from_arrays([*(column(c) for c in page), pa.array(lines), *(column(c) for c in ("x0", "top", "text"))], schema.names)
+
+    return ordered.mapInArrow(run, schema)
 
 
 def line_texts(lines: DataFrame, page: Sequence[str]) -> DataFrame:
@@ -90,12 +118,19 @@ def last_start(x: Column, starts: Column) -> Column:
 def cells_of_lines(lines: DataFrame, starts: DataFrame, page: Sequence[str], middle: bool = True) -> DataFrame:
     """(page, line, row_no, cells): words joined by column.
 
-    By midpoints between starts, or by the last start to the left.
+    By midpoints between starts, or by the last start to the left.  A line of
+    more words than columns begins with an entity of several words: its first
+    word is the first column's wherever it stands, and the words behind it
+    extend the name up to the first that falls in another column.
     """
     from .joins import midpoint_band
 
     met = lines.join(starts, list(page))
-    met = met.withColumn("_c", midpoint_band(F.col("x0"), F.col("starts")) if middle else last_start(F.col("x0"), F.col("starts")))
+    by_place = midpoint_band(F.col("x0"), F.col("starts")) if middle else last_start(F.col("x0"), F.col("starts"))
+    on_line = Window.partitionBy(*page, "line")
+    met = met.withColumns({"_n_words": F.count(F.lit(1)).over(on_line), "_place": F.row_number().over(on_line.orderBy("x0", "text"))})
+    surplus = (F.col("_n_words") > F.size("starts")) & (F.col("_place") == 1)
+    met = met.withColumn("_c", F.when(surplus, 0).otherwise(by_place)).drop("_n_words", "_place")
     cells = met.groupBy(*page, "line", "_c").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "text"))), lambda w: w["text"]), " ").alias("_t"), F.first(F.size("starts")).alias("_n"))
     rows = cells.groupBy(*page, "line").agg(F.map_from_entries(F.collect_list(F.struct("_c", "_t"))).alias("_m"), F.first("_n").alias("_n"))
     full = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit("")))
@@ -111,3 +146,39 @@ def filled_rows(rows: DataFrame) -> DataFrame:
 def confident(words: DataFrame, least: float = 25.0) -> DataFrame:
     """Recognised words that are sure enough and not blank."""
     return words.where((F.col("conf") >= least) & (F.trim("text") != ""))
+
+
+def words_between(words: DataFrame, left: float | None = None, right: float | None = None) -> DataFrame:
+    """Words that start inside an x window, both ends included."""
+    kept = words if left is None else words.where(F.col("x0") >= left)
+    return kept if right is None else kept.where(F.col("x0") <= right)
+
+
+def entity_lines(lines: DataFrame, page: Sequence[str], right_most: float, least_words: int, least_name: int) -> DataFrame:
+    """(page, line, top, n_words, first) of the lines that begin at the left edge with a long enough name, and are wide enough."""
+    first = F.min(F.struct("x0", "text"))
+    per = lines.groupBy(*page, "line").agg(F.min("top").alias("top"), F.count(F.lit(1)).cast("int").alias("n_words"), first.alias("_f"))
+    per = per.select(*page, "line", "top", "n_words", F.col("_f.text").alias("first"), F.col("_f.x0").alias("_x"))
+    return per.where((F.col("_x") <= right_most) & (F.col("n_words") >= least_words) & (F.length("first") >= least_name)).drop("_x")
+
+
+def section_bounds(lines: DataFrame, page: Sequence[str], header: str, below: float = 1.0) -> DataFrame:
+    """(page, section, y_min, y_max): what lies under each line whose first word starts with ``header``.
+
+    A section begins ``below`` under its header and ends above the next one of
+    the page; the page's last ends with its last word.  Pages without the header have none.
+    """
+    firsts = lines.groupBy(*page, "line").agg(F.min("top").alias("top"), F.min(F.struct("x0", "text")).alias("_f"), F.max("top").alias("_low"))
+    per = Window.partitionBy(*page)
+    heads = firsts.withColumn("_end", F.max("_low").over(per)).where(F.col("_f.text").startswith(header))
+    order = per.orderBy("top", "line")
+    nearest = F.lead("top").over(order)
+    return heads.select(*page, F.row_number().over(order).alias("section"), (F.col("top") + below).alias("y_min"), F.coalesce(nearest - below, F.col("_end")).alias("y_max"))
+
+
+def words_in_sections(words: DataFrame, bounds: DataFrame, page: Sequence[str], slack: float = 8.0) -> DataFrame:
+    """Words with the ``section`` whose y window, ``slack`` longer at its foot, holds them; some in two."""
+    from .joins import interval_join
+
+    windows = bounds.select(*page, "section", "y_min", (F.col("y_max") + slack).alias("y_end"))
+    return interval_join(words, windows, page, "top", "y_min", "y_end", width=50.0).select(*words.columns, "section")

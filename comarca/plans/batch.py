@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import argparse
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from comarca.functions.numbers import digits_bigint, first_comma_double, row_mean, to_double, to_int
-from comarca.operators.reshape import drop_blank_rows, renamed_if_present
+from comarca.operators.reshape import renamed_if_present
 from comarca.sources.files import list_files, read_union_by_name
 from comarca.sources.sinks import write_counted, write_parquet
 
@@ -19,21 +19,71 @@ from .indicators import Span, wide
 
 log = logging.getLogger(__name__)
 
-#: Raw names of enrolment columns and what they become.
+#: Raw names of enrolment columns, as published over the years, and what they become.
 ENROLMENT_NAMES = {
-    "Departamento": "departamento", "Municipio": "municipio", "Código Departamento": "codigo_dep", "Código Municipio": "codigo_mun",
-    "Contributivo": "afiliados_contributivo", "Subsidiado": "afiliados_subsidiado", "Total": "afiliados_total", "Régimen": "regimen", "Entidad": "entidad",
-}
+    "IdDepartamento": "codigo_dep",
+    "Departamento": "departamento",
+    "IdMunicipio": "codigo_mun",
+    "Municipio": "municipio",
+    "Contributivo": "afiliados_contributivo",
+    "Subsidiado": "afiliados_subsidiado",
+    "Total": "afiliados_total",
+    "DEPARTAMENTO": "departamento",
+    "MUNICIPIO": "municipio",
+    "REGIMEN": "regimen",
+    "Régimen": "regimen",
+    "ENTIDAD": "entidad",
+    "Entidad": "entidad",
+    "AFILIADOS": "afiliados_total",
+    "Afiliados": "afiliados_total",
+    "TOTAL AFILIADOS": "afiliados_total",
+    "Total Afiliados": "afiliados_total",
+    "CODIGO DEPARTAMENTO": "codigo_dep",
+    "CODIGO MUNICIPIO": "codigo_mun",
+    "Código Departamento": "codigo_dep",
+    "Código Municipio": "codigo_mun",
+}
+#: Raw names of water quality columns and what they become.
+WATER_NAMES = {
+    "Anio": "anio",
+    "Mes": "mes",
+    "Codigo Dep": "codigo_dep",
+    "Nombre Dep": "nombre_dep",
+    "Codigo Mun": "codigo_mun",
+    "Municipio": "municipio",
+    "Cantidad Muestras": "n_muestras",
+    "Promedio Parametros": "promedio_parametros",
+    "Promedio": "promedio_irca",
+    "Nivel de Riesgo": "nivel_riesgo",
+    "Cantidad Muestras Urbanas": "n_muestras_urbano",
+    "Promedio Parametros Urbano": "promedio_parametros_urbano",
+    "Promedio IRCA Urbano": "promedio_irca_urbano",
+    "Nivel Riesgo Urbano": "nivel_riesgo_urbano",
+    "Cantidad Muestras Rural": "n_muestras_rural",
+    "Promedio Parametros Rural": "promedio_parametros_rural",
+    "Promedio IRCA Rural": "promedio_irca_rural",
+    "Nivel Riesgo Rural": "nivel_riesgo_rural",
+}
 ENROLMENT_COUNTS = ("afiliados_contributivo", "afiliados_subsidiado", "afiliados_total")
 WATER_INTS = ("anio", "codigo_dep", "codigo_mun", "n_muestras", "n_muestras_urbano", "n_muestras_rural")
 WATER_DOUBLES = ("promedio_irca", "promedio_irca_urbano", "promedio_irca_rural", "promedio_parametros", "promedio_parametros_urbano", "promedio_parametros_rural")
 
 
-def tidy_enrolment(raw: DataFrame, year: int, month: str) -> DataFrame:
-    """Known names, whole counts, the file's period; blank rows go before the period is added."""
-    named = renamed_if_present(drop_blank_rows(raw), ENROLMENT_NAMES)
+def merged_names(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Columns renamed; of several that become one, the first value that is there."""
+    groups: dict[str, list[str]] = {}
+    for c in df.columns:
+        groups.setdefault(names.get(c, c), []).append(c)
+    return df.select(*(F.coalesce(*(F.col(f"`{c}`") for c in cs)).alias(n) for n, cs in groups.items()))
+
+
+def tidy_enrolment(raw: DataFrame, year: int | Column, month: str | Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Known names, whole counts, the file's period; rows with nothing beside ``keep`` go."""
+    some = raw.dropna(how="all", subset=[c for c in raw.columns if c not in keep])
+    named = merged_names(some, ENROLMENT_NAMES)
     counts = {c: digits_bigint(F.col(c)) for c in ENROLMENT_COUNTS if c in named.columns}
-    return named.withColumns({**counts, "anio": F.lit(year), "mes": F.lit(month)})
+    as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
+    return named.withColumns({**counts, "anio": as_column(year), "mes": as_column(month)})
 
 
 def tidy_water(raw: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -90,13 +140,16 @@ def conformed(sources: Mapping[str, DataFrame], town_dim: DataFrame, compat: boo
 
 def build(spark: SparkSession, sources: Mapping[str, DataFrame], out: str, as_of: int) -> dict[str, int]:
     """Write the dimension and both wide tables; gives their row counts."""
+    if "demografico_edad_sexo" not in sources:
+        log.warning("no population, so no towns: nothing is built")
+        return {}
     town_dim = towns(sources["demografico_edad_sexo"])
     write_parquet(town_dim, f"{out}/geo_maestro")
     town_dim = spark.read.parquet(f"{out}/geo_maestro")
     frames = conformed(sources, town_dim, out=f"{out}/conformed")
     counts = {}
     for grain, name in (("town", "metricas_municipio"), ("region", "metricas_departamento")):
-        counts[name] = safely(name, lambda grain=grain, name=name: write_counted(wide(frames, town_dim, grain, Span(as_of)), f"{out}/{name}"))
+        counts[name] = safely(name, lambda grain=grain, name=name: write_counted(wide(frames, town_dim, grain, Span(as_of), lenient=True), f"{out}/{name}"))
     return counts
 
 

@@ -7,10 +7,12 @@ source that is missing gives typed nulls and no join.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from comarca.functions.numbers import locale_bigint, locale_double, to_double
@@ -22,6 +24,7 @@ from comarca.operators.latest import complete_first, latest_per, two_level
 
 from .geo import REGION_ALIASES, SOURCES, regions
 
+log = logging.getLogger(__name__)
 TOWN, REGION = ("geo_dep_codigo", "geo_mun_codigo"), ("geo_dep_codigo",)
 Frames = Mapping[str, DataFrame]
 
@@ -218,17 +221,32 @@ def metric_columns(grain: str) -> list[str]:
     return [m.name for g in GROUPS for m in g.shown(grain)]
 
 
-def wide(frames: Frames, town_dim: DataFrame, grain: str, span: Span = Span()) -> DataFrame:
+def _part_or_none(frames: Frames, group: Group, grain: str, span: Span, lenient: bool) -> DataFrame | None:
+    """A group's columns; where it cannot be planned (a column its source has lost), none if ``lenient``."""
+    try:
+        made = part(frames, group, grain, span)
+        if made is not None:
+            made.schema  # plans it
+        return made
+    except AnalysisException:
+        if not lenient:
+            raise
+        log.exception("group left out: %s of %s", group.source, grain)
+        return None
+
+
+def wide(frames: Frames, town_dim: DataFrame, grain: str, span: Span = Span(), lenient: bool = False) -> DataFrame:
     """One row for every town or region, with all indicators; conformed ``frames`` by source name.
 
     Ethnic groups use the last year there is, later than ``as_of`` or not, as
-    published; population stops at ``as_of``.
+    published; population stops at ``as_of``.  With ``lenient`` a group that
+    cannot be planned gives typed nulls and an error in the log.
     """
     if grain == "town":
         base = town_dim.select(F.col("dep_codigo").alias("geo_dep_codigo"), F.col("mun_codigo").alias("geo_mun_codigo"), F.col("dep_dane").alias("departamento"), F.col("mun_dane").alias("municipio"))
     else:
         base = regions(town_dim).select(F.col("dep_codigo").alias("geo_dep_codigo"), F.col("dep_dane").alias("departamento"))
-    parts = [(part(frames, g, grain, span), {m.name: m.kind for m in g.shown(grain)}) for g in GROUPS]
+    parts = [(_part_or_none(frames, g, grain, span, lenient), {m.name: m.kind for m in g.shown(grain)}) for g in GROUPS]
     keys = TOWN if grain == "town" else REGION
     out = star(base, keys, [p for p in parts if p[1]])
     names = ["departamento", "municipio"] if grain == "town" else ["departamento"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from comarca.functions.numbers import to_int
@@ -48,16 +50,16 @@ def _with_ids(wide: DataFrame) -> DataFrame:
     return wide.withColumns({c: F.lit(None).cast("string") for c in IDS if c not in wide.columns})
 
 
-def by_sex_and_age(wide: DataFrame) -> DataFrame:
-    """Columns such as 'Hombres 12' melted to (sexo, edad, poblacion); blank cells give no row."""
-    long = reshape.melt_counts(_with_ids(wide), list(IDS), r"(?i)^(Hombres|Mujeres)\s+(\d{1,3})", {"sexo": 1, "edad": 2})
+def by_sex_and_age(wide: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Columns such as 'Hombres 12' melted to (sexo, edad, poblacion); blank cells give no row. ``keep`` stays."""
+    long = reshape.melt_counts(_with_ids(wide), [*keep, *IDS], r"(?i)^(Hombres|Mujeres)\s+(\d{1,3})", {"sexo": 1, "edad": 2})
     return _tidied(long).withColumn("edad", F.col("edad").cast("int"))
 
 
-def by_ethnic_group(wide: DataFrame) -> DataFrame:
-    """The six groups melted to (grupo_etnico, poblacion)."""
+def by_ethnic_group(wide: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The six groups melted to (grupo_etnico, poblacion). ``keep`` stays."""
     groups = [c for c in ETHNIC if c in wide.columns]
-    long = reshape.melt(_with_ids(wide).select(*IDS, *(F.col(f"`{c}`").cast("string").alias(c) for c in groups)), list(IDS), groups, "grupo_etnico", "_v")
+    long = reshape.melt(_with_ids(wide).select(*keep, *IDS, *(F.col(f"`{c}`").cast("string").alias(c) for c in groups)), [*keep, *IDS], groups, "grupo_etnico", "_v")
     return _tidied(long.withColumn("poblacion", to_int(F.col("_v"), "bigint")).where("poblacion IS NOT NULL").drop("_v"))
 
 

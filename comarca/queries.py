@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from comarca.functions import numbers, periods, text
-from comarca.operators import aggregate, joins, latest, layout, ordering, reshape, tables
+from comarca.operators import aggregate, fallback, headed, joins, latest, layout, ordering, reshape, tables
 from comarca.plans import geo, serving
-from comarca.sources import delimited, files, sinks
+from comarca.sources import delimited, files, lattice, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -737,3 +737,119 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     rolled = two_level_rollup(spark, sf).withColumnRenamed("c_nationkey", "n_nationkey")
     base = star_left_null_fill(spark, sf)
     return ordering.by_name(joins.star(base, ["n_nationkey"], [(rolled, {"avg_latest": "double", "n": "bigint"})]), "n_name")
+
+
+# -- layout, drift and fallback -----------------------------------------------
+
+@query("""
+WITH w AS (
+  SELECT l_orderkey, l_extendedprice / 1000 AS x, l_returnflag || CAST(l_linenumber AS VARCHAR) AS t FROM lineitem),
+p AS (
+  SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY x, t) AS place FROM w),
+c AS (
+  SELECT l_orderkey, x, t, CASE WHEN n > 4 AND place = 1 THEN 0 WHEN x >= 55 THEN 3 WHEN x >= 35 THEN 2 WHEN x >= 15 THEN 1 ELSE 0 END AS c FROM p),
+g AS (SELECT l_orderkey, c, string_agg(t, ' ' ORDER BY x, t) AS t FROM c GROUP BY 1, 2)
+SELECT l_orderkey, coalesce(max(CASE WHEN c = 0 THEN t END), '') AS c0, coalesce(max(CASE WHEN c = 1 THEN t END), '') AS c1,
+       coalesce(max(CASE WHEN c = 2 THEN t END), '') AS c2, coalesce(max(CASE WHEN c = 3 THEN t END), '') AS c3
+FROM g GROUP BY 1 HAVING count(*) >= 2""")
+def surplus_words(spark, sf):
+    """Orders as lines of words: short, exact, and longer than the four columns."""
+    text_ = F.concat("l_returnflag", F.col("l_linenumber").cast("string"))
+    lines = _t(spark, sf, "lineitem").select(F.lit(0).alias("page"), F.col("l_orderkey").alias("line"), (F.col("l_extendedprice") / 1000).alias("x0"), text_.alias("text"))
+    starts = spark.range(1).select(F.lit(0).alias("page"), F.array(*map(F.lit, (5.0, 25.0, 45.0, 65.0))).alias("starts"))
+    rows = layout.filled_rows(layout.cells_of_lines(lines, starts, ["page"]))
+    return rows.select(F.col("line").alias("l_orderkey"), *(F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(4)))
+
+
+@query("""
+WITH h AS (
+  SELECT user_id, event_id AS top, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS nxt, max_id
+  FROM (SELECT *, max(event_id) OVER (PARTITION BY user_id) AS max_id FROM events) WHERE event_type = 'purchase'),
+b AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY top) AS section, top + 1.0 AS y0, coalesce(nxt - 1.0, max_id) AS y1 FROM h)
+SELECT e.event_id, b.user_id, CAST(b.section AS INTEGER) AS section
+FROM events e JOIN b ON e.user_id = b.user_id AND e.event_id BETWEEN b.y0 AND b.y1 + 8 AND b.y0 <= b.y1 + 8""")
+def section_window(spark, sf):
+    """Events as a user's words from the top; each purchase heads a section."""
+    events = _t(spark, sf, "events").select("user_id", "event_id", F.col("event_id").cast("double").alias("top"), F.lit(0.0).alias("x0"), F.col("event_type").alias("text"))
+    lines = events.withColumn("line", F.col("event_id"))
+    bounds = layout.section_bounds(lines, ["user_id"], "purchase")
+    return layout.words_in_sections(events, bounds, ["user_id"]).select("event_id", "user_id", "section")
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, p_partkey, p_size FROM lineitem JOIN part
+  ON l_suppkey % 25 = p_size % 25 AND l_extendedprice BETWEEN p_retailprice AND p_retailprice + 100""")
+def range_join(spark, sf):
+    items = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", (F.col("l_suppkey") % 25).alias("k"))
+    parts = _t(spark, sf, "part").select("p_partkey", "p_size", (F.col("p_size") % 25).cast("long").alias("k"), F.col("p_retailprice").alias("lo"), (F.col("p_retailprice") + 100).alias("hi"))
+    return joins.interval_join(items, parts, ["k"], "l_extendedprice", "lo", "hi", 100.0).select("l_orderkey", "l_linenumber", "p_partkey", "p_size")
+
+
+@query("""
+WITH e AS (
+  SELECT user_id, event_id, CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END AS rank FROM events),
+n AS (SELECT user_id, rank, count(*) AS n FROM e GROUP BY 1, 2),
+best AS (SELECT user_id, min(rank) AS rank FROM n WHERE n >= CASE rank WHEN 0 THEN 30 WHEN 1 THEN 20 ELSE 1 END GROUP BY 1)
+SELECT e.user_id, e.event_id, CASE e.rank WHEN 0 THEN 'ruled' WHEN 1 THEN 'grid' ELSE 'text' END AS extractor
+FROM e JOIN best ON e.user_id = best.user_id AND e.rank = best.rank""")
+def fallback_chain(spark, sf):
+    """Users as documents; three extractors, each with its own least number of rows."""
+    events = _t(spark, sf, "events")
+
+    def extractor(test, least):
+        def extract(open_):
+            rows = events.where(test).join(open_, "user_id", "left_semi").select("user_id", F.lit(0).alias("table"), F.col("event_id").alias("row_no"), F.array("event_type").alias("cells"))
+            return fallback.gated(rows, ["user_id"], least)
+
+        return extract
+
+    kind = F.col("event_type")
+    stages = [("ruled", extractor(kind == "purchase", 30)), ("grid", extractor(kind == "click", 20)), ("text", extractor(~kind.isin("purchase", "click"), 1))]
+    return fallback.chain(events, stages, ["user_id"]).select("user_id", F.col("row_no").alias("event_id"), "extractor")
+
+
+@query("""
+SELECT user_id, page, n_rows FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY headed DESC, n_rows DESC, abs(page - 3), page) AS r FROM (
+    SELECT user_id, event_id % 7 AS page, count(*) AS n_rows, arg_min(event_type, event_id) LIKE 'error%' AS headed FROM events GROUP BY 1, 2)) WHERE r = 1""")
+def best_page(spark, sf):
+    rows = _t(spark, sf, "events").select("user_id", (F.col("event_id") % 7).alias("page"), F.lit(0).alias("table"), F.col("event_id").alias("row_no"), F.array("event_type").alias("cells"))
+    grades = fallback.table_grades(rows, ["user_id", "page", "table"], ["error"])
+    return fallback.best_page(grades, ["user_id"], "page", F.lit(3)).select("user_id", "page", "n_rows")
+
+
+@query("""
+SELECT o_orderkey AS k, CAST(o_custkey AS DOUBLE) AS v, CAST(CAST(o_orderkey AS INTEGER) AS VARCHAR) AS s, NULL AS w FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT CAST(o_orderkey AS INTEGER), o_totalprice, o_orderpriority, NULL FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT o_orderkey, CAST(CAST(o_custkey AS INTEGER) AS DOUBLE), NULL, o_orderpriority FROM orders WHERE o_orderstatus NOT IN ('F', 'O')""")
+def widened_union(spark, sf):
+    """Three layouts of the same set: whole numbers, doubles and texts under one name, columns that come and go."""
+    orders, status = _t(spark, sf, "orders"), F.col("o_orderstatus")
+    key = F.col("o_orderkey")
+    frames = [
+        orders.where(status == "F").select(key.alias("k"), F.col("o_custkey").alias("v"), key.cast("int").alias("s")),
+        orders.where(status == "O").select(key.cast("int").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderpriority").alias("s")),
+        orders.where(~status.isin("F", "O")).select(key.alias("k"), F.col("o_custkey").cast("int").alias("v"), F.col("o_orderpriority").alias("w")),
+    ]
+    return lattice.union_widened(frames)
+
+
+@query("""
+SELECT c_nationkey, CAST(r AS INTEGER) AS row_no, c_name AS name, CASE WHEN c_nationkey % 2 = 0 THEN CAST(c_custkey AS VARCHAR) END AS code, CASE WHEN c_nationkey % 2 = 1 THEN c_mktsegment END AS segment
+FROM (SELECT *, 1 + row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer)""")
+def headed_tables(spark, sf):
+    """Nations as raw tables of two kinds of header, under a title."""
+    even = F.col("c_nationkey") % 2 == 0
+    number = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) + 1
+    body = _t(spark, sf, "customer").select("c_nationkey", number.alias("row_no"), F.when(even, F.array(F.col("c_custkey").cast("string"), "c_name")).otherwise(F.array("c_name", "c_mktsegment")).alias("cells"))
+    nations = body.select("c_nationkey").distinct()
+    title = nations.select("c_nationkey", F.lit(0).alias("row_no"), F.array(F.lit("A title"), F.lit(None).cast("string")).alias("cells"))
+    head = nations.select("c_nationkey", F.lit(1).alias("row_no"), F.when(even, F.array(F.lit("code "), F.lit("name"))).otherwise(F.array(F.lit("NAME"), F.lit("segment"))).alias("cells"))
+    rows = title.unionByName(head).unionByName(body)
+    named = headed.by_name(rows, headed.headers(rows, ["c_nationkey"], headed.filled(2), within=5), ["c_nationkey"])
+    return named.select("c_nationkey", "row_no", F.col("name").alias("name"), "code", "segment")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size >= 0 AND p_size * 2.5 >= 90 THEN 'good' ELSE 'fair' END AS alert FROM part")
+def coverage_alert(spark, sf):
+    return _t(spark, sf, "part").select("p_partkey", numbers.coverage_alert(F.col("p_size") * 2.5).alias("alert"))

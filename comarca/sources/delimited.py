@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from comarca.functions.text import unique_names
+from comarca.functions.text import by_spelling, unique_names
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,7 @@ def _sniffed(line: bytes, dialects: tuple[Dialect, ...], least: int) -> tuple[Di
             continue
         names = next(csv.reader([text], delimiter=dialect.sep), [])
         if len(names) >= least:
-            return dialect, unique_names([n.strip().strip("\ufeff") for n in names])
+            return dialect, unique_names([n.strip().strip("\ufeff") for n in names], fold=True)
     return None
 
 
@@ -103,7 +103,8 @@ def read_mixed(spark: SparkSession, path, dialects: tuple[Dialect, ...] = DIALEC
         cells = F.when((F.col("sep") == sep) & (F.col("encoding") == encoding), row).otherwise(cells)
     rows = lines.where(f"NOT {_FIRST}").join(found, "path").select("path", "names", cells.alias("cells"))
     # a name's place in the file's own header
-    return rows.select("path", *(F.get("cells", (F.array_position("names", F.lit(c)) - 1).cast("int")).alias(c) for c in columns))
+    cell = lambda c: F.get("cells", (F.array_position("names", F.lit(c)) - 1).cast("int"))
+    return rows.select("path", *(F.coalesce(*map(cell, cs)).alias(c) for c, cs in by_spelling([c for c in columns if c != "path"]).items()))
 
 
 def first_line(spark: SparkSession, path, encoding: str) -> str:
@@ -139,3 +140,37 @@ def read_tolerant(spark: SparkSession, path, sep: str | None = None, encoding: s
     header = first_line(spark, path, encoding)
     lines = lines_by_file(spark, path).where(f"NOT {_FIRST}").select(F.decode("line", encoding).alias("value"))
     return fit_lines(lines, header, sep)
+
+
+def read_tolerant_files(spark: SparkSession, path, encoding: str = "ISO-8859-1") -> DataFrame:
+    """Rows of delimited files of any headers with ``path``, none lost, all in one scan.
+
+    Each file by its own header: the separator is the more frequent of | and ;
+    in it; what is too much in a line joins the last field, what is missing is ''.
+    """
+    lines = lines_by_file(spark, path).withColumn("line", F.decode("line", encoding))
+    head = F.regexp_replace("line", "^(\ufeff|ï»¿)", "")
+    count = lambda c: F.length("h") - F.length(F.replace("h", F.lit(c)))
+    heads = lines.where(_FIRST).select("path", head.alias("h")).withColumn("sep", F.when(count("|") >= count(";"), "|").otherwise(";"))
+    names = F.transform(F.split("h", F.concat(F.lit("\\Q"), F.col("sep"), F.lit("\\E")), -1), F.trim)
+    heads = heads.select("path", "sep", _numbered(names).alias("names"))
+    columns = [r.n for r in heads.select(F.explode("names").alias("n")).distinct().orderBy("n").collect()]  # spellings of headers
+    fields, width = F.split("line", F.concat(F.lit("\\Q"), F.col("sep"), F.lit("\\E")), -1), F.size("names")
+    last = F.call_function("array_join", F.slice(fields, width, F.greatest(F.size(fields) - width + 1, F.lit(0))), F.col("sep"))
+    glued = F.when(F.size(fields) > width, F.concat(F.slice(fields, F.lit(1), width - 1), F.array(last))).otherwise(fields)
+    rows = lines.where(f"NOT {_FIRST}").join(heads, "path").select("path", "names", glued.alias("cells"))
+
+    def cell(name: str) -> Column:
+        place = F.array_position("names", F.lit(name)).cast("int")
+        return F.when(place > 0, F.coalesce(F.get("cells", place - 1), F.lit("")))
+
+    return rows.select("path", *(F.coalesce(*map(cell, cs)).alias(c) for c, cs in by_spelling([c for c in columns if c != "path"]).items()))
+
+
+def _numbered(names: Column) -> Column:
+    """Later repeats of a name get .1, .2 and so on."""
+    def one(name: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(names, 1, i), lambda x: F.lower(x) == F.lower(name)))
+        return F.when(before > 0, F.concat(name, F.lit("."), before.cast("string"))).otherwise(name)
+
+    return F.transform(names, one)

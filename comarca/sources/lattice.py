@@ -107,9 +107,14 @@ def union_widened(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, (aligned(f, schema) for f in frames))
 
 
-def read_drifting(spark: SparkSession, paths: list[str]) -> DataFrame | None:
-    """Parquet files of any layouts as one table; None without files."""
+def read_drifting(spark: SparkSession, paths: list[str], path_col: str | None = None) -> DataFrame | None:
+    """Parquet files of any layouts as one table, with each row's file in ``path_col``; None without files."""
     if not paths:
         return None
     groups = [(T.StructType.fromJson(json.loads(layout)), files) for layout, files in layouts(spark, paths).items()]
-    return union_widened([spark.read.schema(schema).parquet(*files) for schema, files in groups])
+    if not groups:
+        return None
+    frames = [spark.read.schema(schema).parquet(*files) for schema, files in groups]
+    if path_col:
+        frames = [f.withColumn(path_col, F.col("_metadata.file_path")) for f in frames]
+    return union_widened(frames)

@@ -17,7 +17,7 @@ import os
 import re
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -85,8 +85,8 @@ def _ended(xml, tag: str) -> Iterator[ElementTree.Element]:
                 above[-1].clear()
 
 
-def sheet_rows(data: bytes, sheet: str | int | None = None, first_row: int = 1) -> Iterator[tuple[str, int, list]]:
-    """(sheet, row number, cells) of a sheet by name or place; None: the active one.
+def sheet_rows(data: bytes, sheet: str | int | Sequence[str] | None = None, first_row: int = 1) -> Iterator[tuple[str, int, list]]:
+    """(sheet, row number, cells) of a sheet by name (of several, the first that is there) or place; None: the active one.
 
     Rows are read one by one: beside the packed file a task holds one row, eight
     bytes for each shared string, and the last thousands of these.
@@ -98,7 +98,8 @@ def sheet_rows(data: bytes, sheet: str | int | None = None, first_row: int = 1)
         if sheet is None:
             view = next(root.iter(f"{_MAIN}workbookView"), None)
             sheet = int(view.get("activeTab", 0)) if view is not None else 0
-        picked = sheets[sheet] if isinstance(sheet, int) else next((s for s in sheets if s[0] == sheet), None)
+        names = [sheet] if isinstance(sheet, str) else sheet
+        picked = sheets[sheet] if isinstance(sheet, int) else next((s for n in names for s in sheets if s[0] == n), None)
         if picked is None:
             raise ValueError(f"no sheet named {sheet!r}")
         shared = functools.lru_cache(maxsize=_HELD)(_Shared(book).__getitem__)
@@ -158,7 +159,7 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(XlsxSource)
 
 
-def read_rows(spark: SparkSession, path, sheet: str | int | None = None, first_row: int = 1) -> DataFrame:
+def read_rows(spark: SparkSession, path, sheet: str | int | Sequence[str] | None = None, first_row: int = 1) -> DataFrame:
     """Rows of every workbook, or zipped workbook, under any path Spark can read.
 
     A workbook is a task's; its rows leave it in batches of ``_BATCH``.
