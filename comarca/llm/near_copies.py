@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import durable, sieve
+from .common import discard, durable, sieve
 from .simhash import GolayKeys, components, shingles
 
 HUBS = 4
@@ -135,7 +135,16 @@ def _met(nodes: DataFrame) -> DataFrame:
     """(key, node, n, ``TOLD``) of every key that two nodes and more have; ``n`` counts a key's nodes."""
     keyed = nodes.select(F.explode("keys").alias("key"), "node")
     shared = durable(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-keys")
-    return durable(sieve(keyed, "key", shared).join(shared, "key"), "near-keyed").join(nodes.select("node", *TOLD), "node")
+    narrow = durable(sieve(keyed, "key", shared).join(shared, "key"), "near-keyed")
+    met = durable(narrow.join(nodes.select("node", *TOLD), "node"), "near-met")
+    _gone(shared, narrow)
+    return met
+
+
+def _gone(*stored: DataFrame) -> None:
+    """Delete stored frames whose last reader has run."""
+    for df in stored:
+        discard(df)
 
 
 def _first_round(met: DataFrame) -> DataFrame:
@@ -156,15 +165,20 @@ def _round(members: DataFrame, hubs: int, turn: int) -> DataFrame | None:
     most = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("most"), (F.sum("count") - F.max("count")).alias("rest"))
     open_ = durable(most.where("rest > 0"), "near-open")
     if (largest := open_.agg(F.max("rest")).first()[0]) is None:
+        _gone(open_)
         return None
     joined = sieve(members, "key", open_).join(open_, "key")
     outside = F.col("comp") != F.col("most")
     if largest > CROWDED:
         drawn = F.pmod(F.xxhash64(F.lit(turn), "key", "node"), F.col("rest")) < hubs
-        return durable(joined.select("key", "node", "comp", (outside & drawn).alias("hub"), F.lit(None).cast("array<long>").alias("keys"), *TOLD), "near-members")
+        opened = durable(joined.select("key", "node", "comp", (outside & drawn).alias("hub"), F.lit(None).cast("array<long>").alias("keys"), *TOLD), "near-members")
+        _gone(open_)
+        return opened
     joined = durable(joined.withColumn("outside", outside), "near-outside")
-    of_node = durable(joined.groupBy("node").agg(F.max("outside").alias("hub"), F.collect_set("key").alias("keys")), "near-hubs")
-    return durable(joined.join(of_node, "node").select("key", "node", "comp", "hub", "keys", *TOLD), "near-members")
+    of_node = joined.groupBy("node").agg(F.max("outside").alias("hub"), F.collect_set("key").alias("keys"))
+    opened = durable(joined.join(of_node, "node").select("key", "node", "comp", "hub", "keys", *TOLD), "near-members")
+    _gone(open_, joined)
+    return opened
 
 
 def candidates(opened: DataFrame, least: tuple[int, int]) -> DataFrame:
@@ -188,7 +202,10 @@ def _common(members: DataFrame, sets: DataFrame) -> DataFrame:
     nodes = members.select("node").distinct()
     listed = sets.join(nodes, "node", "left_semi").select("node", F.explode("hashes").alias("shingle"))
     own = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    return members.drop("common").join(durable(own, "near-own"), "node", "left").withColumn("common", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+    own = durable(own, "near-own")
+    out = durable(members.drop("common").join(own, "node", "left").withColumn("common", F.col("size") - F.coalesce("own", F.lit(0))).drop("own"), "near-common")
+    _gone(own, members)
+    return out
 
 
 def _sets(texts: DataFrame, n: int) -> DataFrame:
@@ -210,11 +227,15 @@ def near_copies(docs: DataFrame, row_key: tuple[str, str], id_col: str = "doc_id
     row_key = list(row_key)
     rows = durable(marked(docs.select(id_col, text_col, *row_key), text_col, n), "near-nodes")
     nodes = durable(rows.groupBy("node").agg(F.min(F.struct(*row_key, *TOLD, "keys")).alias("r")).select("node", "r.*"), "near-distinct")
-    met = durable(_met(nodes), "near-met")
+    named_rows = durable(rows.select(id_col, *row_key, "node"), "near-rows")  # from here on without keys and prints
+    _gone(rows)
+    met = _met(nodes)
     # written first, so that what is narrow can sieve the texts before any of them moves
     wanted = durable(nodes.select("node", *row_key).join(met.select("node").distinct(), "node", "left_semi"), "near-wanted")
+    _gone(nodes)
     texts = sieve(docs.select(*row_key, F.col(text_col).alias("text")), row_key[0], wanted).dropDuplicates(row_key).join(wanted.hint("merge"), row_key)
     sets = durable(_sets(texts, n), "near-sets")
+    _gone(wanted)
     left, right = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"_{c}")) for c in "ab")
     both = F.size(F.array_intersect("_a", "_b"))
     alike = both * least[1] >= (F.size("_a") + F.size("_b") - both) * least[0]
@@ -223,11 +244,16 @@ def near_copies(docs: DataFrame, row_key: tuple[str, str], id_col: str = "doc_id
     while opened is not None:
         pairs = durable(candidates(opened, least), "near-pairs")
         links = pairs.hint("merge").join(sieve(left, "a", pairs), "a").join(sieve(right, "b", pairs).hint("merge"), "b").where(alike).select("a", "b")
-        forest = components(forest.unionByName(links)).select(F.col("node").alias("a"), F.col("root").alias("b"))
+        before, forest = forest, components(forest.unionByName(links)).select(F.col("node").alias("a"), F.col("root").alias("b"))
+        _gone(pairs, before)
         rest, turn = opened.where("NOT hub").drop("comp", "hub", "keys"), turn + 1
         named = rest.join(forest, F.col("node") == F.col("a"), "left").withColumn("comp", F.coalesce("b", "node")).drop("a", "b")
-        opened = _round(durable(named, "near-named"), HUBS * 8**turn, turn)
+        named = durable(named, "near-named")
+        _gone(met if turn == 1 else opened)
+        opened = _round(named, HUBS * 8**turn, turn)
+        _gone(named)
         if opened is not None:
-            opened = durable(_common(opened, sets), "near-common")
+            opened = _common(opened, sets)
+    _gone(sets)
     rooted = forest.withColumnsRenamed({"a": "_node", "b": "root"})
-    return rows.drop("keys", *TOLD).join(rooted, F.col("node") == F.col("_node"), "left").select(id_col, *row_key, F.coalesce("root", "node").alias("group"))
+    return named_rows.join(rooted, F.col("node") == F.col("_node"), "left").select(id_col, *row_key, F.coalesce("root", "node").alias("group"))
