@@ -29,13 +29,16 @@ The text of a shard itself is held in memory, two bytes for each byte of it;
 the tuples, an order of magnitude larger, are what spills.  The queues' scratch
 files are private to a task, nameless, and gone when it ends.
 
-Rows are named by 128 bits of their id and text between the steps.
+Rows are named by 128 bits of their id and text between the steps.  A stretch
+with a period below a gram's length (a line of dashes, a run of blanks) is one
+row, and one period of its starts stands for it.
 
 Defined results: a null text is empty and loses nothing; a repeated row is
 another place where its text starts; spans are in bytes of the UTF-8 text and
 may cut a character, so what is kept is binary.  Columns other than the id and
 the text do not pass through, whatever their names.  A very long text is cut
-into windows like any other, in the memory of the task that holds it.
+into windows like any other, in the memory of the task that holds it; one of a
+period beyond a gram's length has a row for each period or so.
 """
 
 from __future__ import annotations
@@ -148,6 +151,14 @@ def _dealt(found: dict[str, np.ndarray], texts: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([text if c == "text" else pa.array(columns[c], kind) for c, kind in _FIELDS.items()], list(_FIELDS))
 
 
+def _covered(known: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    """Rows (row, row2, first, ends) that are covered already and go on to the result only."""
+    row, row2, first, ends = map(list, zip(*known))
+    none = [0] * len(known)
+    given = {"part": row, "row": row, "row2": row2, "first": first, "ends": ends, "covered": [True] * len(known), "text": [None] * len(known), "own": [False] * len(known), "many": [False] * len(known)}
+    return pa.RecordBatch.from_arrays([pa.array(given.get(c, none), kind) for c, kind in _FIELDS.items()], list(_FIELDS))
+
+
 def _windows(keyed: DataFrame, length: int) -> DataFrame:
     """Windows of (row, row2, text)."""
 
@@ -175,8 +186,28 @@ def cells(length: int, level: int) -> int:
     return -(-(length - gram_of(length) + 1) // (2 * 4 ** (level - 1)))
 
 
-def split_window(text: bytes, first: int, ends: int, grams: np.ndarray, length: int, level: int) -> Iterator[tuple[int, int, int, int]]:
-    """(name, first, end of starts, gram) of the parts of a window.
+def periodic_runs(text: bytes, first: int, grams: np.ndarray, length: int) -> list[tuple[int, int, int]]:
+    """(first start, end of starts, period) of the stretches of a window that repeat with a period below a gram's length.
+
+    There a start has a twin one period on or back, so all are covered, and one
+    period of them has every string of the stretch.  A gram that follows itself
+    at one distance again and again shows where to look.
+    """
+    gram, out = gram_of(length), []
+    steps = np.diff(grams)
+    edges = np.flatnonzero(np.diff(steps)) + 1
+    for i, j in zip(np.r_[0, edges], np.r_[edges, len(steps)]):
+        if i == j or (period := int(steps[i])) >= gram:
+            continue
+        a, b = int(grams[i]), int(grams[j]) + gram
+        starts, run = b - a - length + 1, text[a - first : b - first]
+        if starts >= 2 * period and run[period:] == run[:-period]:
+            out.append((a, a + starts, period))
+    return out
+
+
+def split_window(text: bytes, first: int, ends: int, grams: np.ndarray, length: int, level: int, begin: int | None = None) -> Iterator[tuple[int, int, int, int]]:
+    """(name, first, end of starts, gram) of the parts of a window, from the start ``begin`` on.
 
     ``text`` begins at ``first``; ``grams`` are the places of the window's
     gram.  A string belongs to its leftmost one, and how far before it the
@@ -184,7 +215,7 @@ def split_window(text: bytes, first: int, ends: int, grams: np.ndarray, length:
     of the bytes that every string of the cell has.
     """
     width, most = cells(length, level), length - gram_of(length) + 1
-    at = first
+    at = first if begin is None else begin
     while at < ends:
         gram = int(grams[np.searchsorted(grams, at)])
         cell = (gram - at) // width
@@ -199,18 +230,27 @@ def _split(pieces: DataFrame, length: int, level: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, _SLICE) for b in batches for at in range(0, b.num_rows, _SLICE)):
-            names, contents, texts, rest = [], [], [], []
+            names, contents, texts, rest, known = [], [], [], [], []
             for row, row2, first, ends, name, gram, covered, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if gram < 0:
                     grams = first + np.flatnonzero(_gram_hashes(np.frombuffer(text, np.uint8), gram_of(length)).view(np.int64) == name)
                 else:
                     grams = np.array([gram])
-                for part, a, b, place in split_window(text, first, ends, grams, length, level):
-                    cut = text[a - first : b - first + length - 1]
-                    names.append(part)
-                    contents.append(xxhash.xxh64_intdigest(cut))
-                    texts.append(cut)
-                    rest.append((row, row2, a, b, place, covered))
+                # of a periodic stretch one period is split; the stretch is one row, covered already
+                stretches, at = [], first
+                for a, b, period in periodic_runs(text, first, grams, length):
+                    stretches += [(at, a, covered), (a, a + period, True)]
+                    known.append((row, row2, a, b))
+                    at = b
+                for begin, end, before in (*stretches, (at, ends, covered)):
+                    for part, a, b, place in split_window(text, first, end, grams, length, level, begin):
+                        cut = text[a - first : b - first + length - 1]
+                        names.append(part)
+                        contents.append(xxhash.xxh64_intdigest(cut))
+                        texts.append(cut)
+                        rest.append((row, row2, a, b, place, before))
+            if known:
+                yield _covered(known)
             if names:
                 row, row2, first, ends, gram, covered = map(np.array, zip(*rest))
                 held = np.empty(len(texts), object)

@@ -115,3 +115,24 @@ def test_long_runs_of_one_name_are_judged_in_parts(spark, monkeypatch):
         check(df)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", session_batch)
+
+
+@pytest.mark.parametrize("period", [1, 2, 3, 47, 60])
+def test_periodic_texts(spark, period):
+    """A million bytes of a short period are covered in few rows, also against strings of other texts."""
+    rnd = random.Random(period)
+    unit = "".join(rnd.choice("abcdefgh") for _ in range(period))
+    long = unit * (1_000_000 // period)
+    texts = [long, "x" * 30 + unit * (300 // period + 1) + "tail of its own", "plain text that is nowhere else", unit * (199 // period), "y" + (unit * 400)[7 : 7 + 200 + period // 2]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    seen = Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    for r in suffixes.remove_repeats(df).collect():
+        text, gone = texts[r.doc_id], bytearray(len(texts[r.doc_id]))
+        for i in range(len(text) - 199):
+            if seen[text[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\1" * 200
+        assert r.n_removed == sum(gone) and r.kept == bytes(b for b, g in zip(text.encode(), gone) if not g)
+    if period < suffixes.gram_of(200):
+        grams = np.flatnonzero(suffixes._gram_hashes(np.frombuffer(long.encode(), np.uint8), 48).view(np.int64) == suffixes.windows(long.encode(), 200)[0][0])
+        runs = suffixes.periodic_runs(long.encode(), 0, grams, 200)
+        assert len(runs) == 1 and runs[0][2] == period and runs[0][1] - runs[0][0] > 999_000
