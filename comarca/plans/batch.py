@@ -15,7 +15,7 @@ from comarca.sources.files import list_files, read_union_by_name
 from comarca.sources.sinks import write_counted, write_parquet
 
 from .geo import SOURCES, conform, towns
-from .indicators import Span, wide
+from .indicators import Span, of_grain, wide_both
 
 log = logging.getLogger(__name__)
 
@@ -147,9 +147,12 @@ def build(spark: SparkSession, sources: Mapping[str, DataFrame], out: str, as_of
     write_parquet(town_dim, f"{out}/geo_maestro")
     town_dim = spark.read.parquet(f"{out}/geo_maestro")
     frames = conformed(sources, town_dim, out=f"{out}/conformed")
+    # both grains at once, so that a conformed source is read once
+    write_parquet(wide_both(frames, town_dim, Span(as_of), lenient=True), f"{out}/metricas", ["level"])
+    both = spark.read.parquet(f"{out}/metricas")
     counts = {}
     for grain, name in (("town", "metricas_municipio"), ("region", "metricas_departamento")):
-        counts[name] = safely(name, lambda grain=grain, name=name: write_counted(wide(frames, town_dim, grain, Span(as_of), lenient=True), f"{out}/{name}"))
+        counts[name] = safely(name, lambda grain=grain, name=name: write_counted(of_grain(both, grain), f"{out}/{name}"))
     return counts
 
 

@@ -34,7 +34,7 @@ from comarca.sources.sinks import write_parquet
 
 from . import batch, population
 from .geo import SOURCES, conform, towns
-from .indicators import Span, wide
+from .indicators import Span, of_grain, wide_both
 
 log = logging.getLogger(__name__)
 PATH = ["path"]
@@ -184,8 +184,10 @@ def build_changed(spark: SparkSession, store: str, run: int, as_of: int, before:
         step(f"conformed_{source}", {source: read[source], **place}, lambda source=source: conform(silver(spark, store, source, known), SOURCES[source], table("geo_maestro")))
     frames = {s: table(f"conformed_{s}") for s in SOURCES if f"conformed_{s}" in now}
     inputs = {s: now[f"conformed_{s}"].version for s in frames} | place
+    step("metricas", inputs, lambda: wide_both(frames, table("geo_maestro"), Span(as_of), lenient=True), f"as_of={as_of}")
     for grain, name in (("town", "metricas_municipio"), ("region", "metricas_departamento")):
-        step(name, inputs, lambda grain=grain: wide(frames, table("geo_maestro"), grain, Span(as_of), lenient=True), f"as_of={as_of}")
+        if "metricas" in now:
+            step(name, {"metricas": now["metricas"].version}, lambda grain=grain: of_grain(table("metricas"), grain))
     known.unpersist()
     return now
 

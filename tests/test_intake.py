@@ -92,7 +92,7 @@ def test_runs(spark, raw, caplog):
     put(raw / "irca" / "c.csv", b"Anio|Mes|Codigo Dep|Codigo Mun|Promedio|Nivel de Riesgo\n2024|JUNIO|5|5001|9|Alto\n")
     assert intake.run_intake(spark, str(raw), store, 2025) == {"irca": 1}
     after = manifest.pointer(spark, store)
-    assert {t for t in after if after[t] != before.get(t)} == {"conformed_irca", "metricas_municipio", "metricas_departamento"}
+    assert {t for t in after if after[t] != before.get(t)} == {"conformed_irca", "metricas", "metricas_municipio", "metricas_departamento"}
     assert rows(spark, store, "metricas_municipio", "geo_mun_codigo")[5001].irca_nivel_riesgo == "Alto"
 
     # a file in a new state takes the place of its old rows

@@ -82,6 +82,23 @@ def test_regions(world):
     assert rows[11]["pob_total"] == 30 and rows[11]["ips_total"] is None
 
 
+def test_both_grains_from_one_reading(world, sources, spark, tmp_path):
+    dim, frames = world
+    for span in (indicators.Span(2025), indicators.Span(2025, 2023, "MAYO")):
+        both = indicators.wide_both(frames, dim, span)
+        for grain in ("town", "region"):
+            one, other = indicators.wide(frames, dim, grain, span), indicators.of_grain(both, grain)
+            assert one.dtypes == other.dtypes
+            assert sorted(map(str, one.collect())) == sorted(map(str, other.collect())), (grain, span)
+    for name, frame in frames.items():
+        frame.write.parquet(str(tmp_path / name))
+    dim.write.parquet(str(tmp_path / "dim"))
+    stored = {n: spark.read.parquet(str(tmp_path / n)) for n in frames}
+    plan = indicators.wide_both(stored, spark.read.parquet(str(tmp_path / "dim")), indicators.Span(2025))._jdf.queryExecution().optimizedPlan().toString()
+    used = [n for n in frames if n in {g.source for g in indicators.GROUPS}]
+    assert plan.count("parquet") == len(used) + 2  # the dimension: as towns, as regions
+
+
 def test_overlays(world):
     dim, frames = world
     base = by(serving.region_metrics(frames, dim, 2025), "geo_dep_codigo")
