@@ -45,6 +45,11 @@ def compatibility_form(text: Column) -> Column:
     return F.pandas_udf(normalise, "string")(text)
 
 
+def beyond_ascii(text: Column) -> Column:
+    """Whether a text has a character that a Unicode normal form can change."""
+    return text.rlike(r"[^\x00-\x7F]")
+
+
 def match_key(text: Column) -> Column:
     """Upper case, no accents, only A-Z, 0-9 and single blanks; null gives ''."""
     upper = F.upper(F.coalesce(text, F.lit("")))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from comarca.functions.numbers import to_int
-from comarca.functions.text import collapse_blanks
+from comarca.functions.text import beyond_ascii, collapse_blanks, compatibility_form
 from comarca.operators import reshape, tables
 
 #: Identifying columns and what they become; older and newer names of the same column.
@@ -47,7 +47,10 @@ def _tidied(long: DataFrame) -> DataFrame:
 
 
 def _with_ids(wide: DataFrame) -> DataFrame:
-    return wide.withColumns({c: F.lit(None).cast("string") for c in IDS if c not in wide.columns})
+    """All identifying columns, names in compatibility form: over the distinct names of the sheet, before it is melted."""
+    names = [c for c in ("DPNOM", "DPMP", "ÁREA GEOGRÁFICA") if c in wide.columns]
+    plain = reshape.over_distinct(wide, names, compatibility_form, beyond_ascii) if names else wide
+    return plain.withColumns({c: F.lit(None).cast("string") for c in IDS if c not in plain.columns})
 
 
 def by_sex_and_age(wide: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

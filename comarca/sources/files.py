@@ -25,6 +25,12 @@ def list_files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     return sorted((s.getPath().toString(), s.getModificationTime()) for s in found)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder through the file system Spark uses."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def latest_file(spark: SparkSession, pattern: str, by: str = "name") -> str | None:
     """Last file by name, or newest by time (of equal times the last name); None if none."""
     found = list_files(spark, pattern)

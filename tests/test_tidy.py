@@ -1,4 +1,8 @@
-from comarca.plans import bulletins, population, providers, scorecards
+from pyspark.sql import functions as F
+
+from comarca.functions import text
+from comarca.operators import reshape
+from comarca.plans import bulletins, geo, population, providers, scorecards
 
 REGIONS = ["Región Uno", "Atlántico"]
 CELLS = "doc string, page int, `table` int, row_no int, cells array<string>"
@@ -52,3 +56,35 @@ def test_scorecards(spark):
     assert sorted((r.indicator, r.level) for r in scores.collect()) == [("calidad_gaudi", "En proceso"), ("inspva", "Optimo")]
     towns = scorecards.towns(spark.createDataFrame([(10, ["1", "R", " 05", "D", "05001 ", "M", "1", "3"])], "row_no int, cells array<string>"))
     assert (towns.first().codigo_mun, towns.first().puntaje_promedio) == (5001, 3.0)
+
+
+WIDE = "ＶＩＬＬＡ ﬁna"  # full-width letters and a ligature
+
+
+def test_compatibility_names(spark):
+    rows = [(1, ["DP", "DPNOM", "MPIO", "DPMP", "AÑO", "ÁREA GEOGRÁFICA", "Hombres 0"]), (2, ["5", "Región Uno", "05001", WIDE, "2024", "Ｔｏｔａｌ", "1"]), (3, ["5", "Región Uno", "05001", WIDE, "2024", "Cabecera", "10"]), (4, ["5", None, "05002", "Otra", "2024", None, "7"])]
+    long = population.by_sex_and_age(population.named_sheet(spark.createDataFrame(rows, "row_no int, cells array<string>")))
+    assert sorted((r.codigo_mun, r.nombre_dep or "", r.municipio, r.poblacion) for r in long.collect()) == [("05001", "Región Uno", "VILLA fina", 10), ("05002", "", "Otra", 7)]
+    enrolled = spark.createDataFrame([("region uno", "Villa Fina")], "departamento string, municipio string")
+    found = geo.conform(enrolled, geo.SOURCES["afiliacion"], geo.towns(long.where("nombre_dep IS NOT NULL"))).first()
+    assert (found.geo_dep_codigo, found.geo_mun_codigo) == (5, 5001)
+
+
+def test_over_distinct(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(column):
+        def upper(values):
+            seen.add(len(values))
+            return values.map(lambda v: None if v is None or v == "é gone" else v.upper())
+
+        return F.pandas_udf(upper, "string")(column)
+
+    df = spark.createDataFrame([("é", None, 1), ("é", None, 2), ("plain", "plain", 3), (None, None, 4), ("é gone", "É", 5)] * 50, "`a.b` string, c string, n int")
+    got = reshape.over_distinct(df, ["a.b", "c"], counted, text.beyond_ascii)
+    assert got.columns == df.columns
+    assert sorted(map(str, set(map(tuple, got.collect())))) == sorted(map(str, [("É", None, 1), ("É", None, 2), ("plain", "plain", 3), (None, None, 4), (None, "É", 5)])) and got.count() == 250
+    seen.value = 0
+    got.collect()
+    assert seen.value <= 4  # two combinations, two columns
+    assert reshape.over_distinct(df.limit(0), ["c"], text.compatibility_form).count() == 0
