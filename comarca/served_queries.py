@@ -186,7 +186,7 @@ def served_scorecards(spark, sf) -> DataFrame:
 
 _SCORECARDS_SQL = _BASE + """
 SELECT 'town' AS kind, n.n_name AS name, max(c_custkey) / 4.0::DOUBLE AS score FROM customer JOIN nation n ON c_nationkey = n.n_nationkey WHERE n.n_nationkey = 7 GROUP BY n.n_name
-UNION ALL SELECT 'region', lower(r_name), CAST(nro AS BIGINT) / 4.0::DOUBLE FROM (SELECT min(CAST(s_suppkey AS VARCHAR)) AS nro FROM sup WHERE dep = 2 AND s_suppkey % 2 = 0), region WHERE r_regionkey = 2"""
+UNION ALL SELECT 'region', lower(r_name), s_suppkey / 4.0::DOUBLE FROM (SELECT s_suppkey FROM sup WHERE dep = 2 ORDER BY s_suppkey % 2, CAST(s_suppkey AS VARCHAR) LIMIT 1), region WHERE r_regionkey = 2"""
 
 QUERIES = {f.__name__: f for f in (wide_both_grains, served_regions, served_towns, served_months, served_periods, served_scorecards)}
 ORACLES = {"wide_both_grains": _WIDE_SQL, "served_regions": _REGIONS_SQL, "served_towns": _TOWNS_SQL, "served_months": _MONTHS_SQL, "served_periods": _PERIODS_SQL, "served_scorecards": _SCORECARDS_SQL}
