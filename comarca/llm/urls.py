@@ -7,7 +7,8 @@ rules.  The few pairs that meet are confirmed on the whole digest, and the
 longest rule of a URL wins (of two equally long, the one with the longer host,
 then the greater text; of one rule with two verdicts, the greater word, so that
 ``block`` wins over ``allow``).  The suffix and prefix lengths that are tried are those
-the rule table has, so the expansion is exact and stays narrow.  Rules are
+the rule table has, so the expansion is exact; they are data of one array
+expression, so the plan does not grow with the rules.  Rules are
 broadcast only if Spark's own size check allows it; else the join shuffles on
 the hash prefix, which spreads hot hosts only as far as their expressions
 differ, and adaptive execution splits what is left.
@@ -15,7 +16,9 @@ differ, and adaptive execution splits what is left.
 Decisions are joined back per distinct URL, so repeated URLs are judged once.
 
 Defined results: a null URL or one without ``://`` has an empty host and path,
-which no rule fits; repeated pages keep a row each; other columns pass through.
+which no rule fits; repeated pages keep a row each; a URL of any length is
+judged whole; a rule given twice counts once; other columns pass through, and
+one named as an output gives way to it.
 """
 
 from __future__ import annotations
@@ -57,11 +60,13 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
 
     url = pages.select(F.col(url_col).alias("_url")).where(F.col("_url").contains("://")).distinct()
     parts = url.select("_url", host_of(F.col("_url")).alias("_host"), path_of(F.col("_url")).alias("_path"))
-    labels = F.split("_host", r"\.", -1)
-    hosts = [F.when(F.size(labels) >= n, F.array_join(F.slice(labels, F.size(labels) - n + 1, n), ".")) for n in shape.labels]
-    paths = [F.when(F.length("_path") >= n, F.substring("_path", 1, n)) for n in shape.lengths]
-    expressions = F.array_compact(F.array(*(F.when(h.isNotNull() & p.isNotNull(), _digest(h, p)) for h in hosts for p in paths))) if hosts and paths else F.array().cast("array<string>")
-    tried = parts.select("_url", F.explode(expressions).alias("digest"))
+    labels, length = F.split("_host", r"\.", -1), F.length("_path")
+    n = F.size(labels)
+    numbers = lambda values: F.array(*map(F.lit, values)).cast("array<int>")
+    hosts = F.transform(F.filter(numbers(shape.labels), lambda k: k <= n), lambda k: F.array_join(F.slice(labels, n - k + 1, k), "."))
+    paths = F.transform(F.filter(numbers(shape.lengths), lambda k: k <= length), lambda k: F.substring("_path", 1, k))
+    expressions = F.flatten(F.transform(hosts, lambda h: F.transform(F.col("_prefixes"), lambda p: _digest(h, p))))
+    tried = parts.withColumn("_prefixes", paths).select("_url", F.explode(expressions).alias("digest"))
     met = tried.withColumn("short", F.substring("digest", 1, 8)).join(keyed, "short").where(F.col("digest") == F.col("rule_digest"))
     text = F.concat("rule_host", "rule_path")
     won = met.groupBy("_url").agg(

@@ -38,3 +38,21 @@ def test_clashing_columns(spark):
     pages = spark.createDataFrame([(1, "http://example.org/en/1", "x", 3)], "page_id long, url string, host string, verdict int")
     got = urls.judge(pages, urls.rule_table(spark, queries.URL_RULES)).first()
     assert (got.host, got.verdict) == ("example.org", "block")
+
+
+def test_repeated_rules_two_verdicts_and_long_urls(spark):
+    rules = [("allow", "org", "/a"), ("allow", "org", "/a"), ("block", "b.org", "/"), ("allow", "b.org", "/"), ("block", "c.org", "/" + "x" * 5000)]
+    long = "http://" + "a." * 300 + "b.org/" + "y" * 200_000
+    pages = spark.createDataFrame([(1, "http://org/a"), (2, long), (3, "http://c.org/" + "x" * 5001), (4, "http://c.org/" + "x" * 4999)], "page_id long, url string")
+    got = {r.page_id: (r.rule and r.rule[:6], r.verdict, len(r.path)) for r in urls.judge(pages, urls.rule_table(spark, rules)).collect()}
+    assert got == {1: ("org/a", "allow", 2), 2: ("b.org/", "block", 200_001), 3: ("c.org/", "block", 5002), 4: (None, "allow", 5000)}
+
+
+def test_plan_does_not_grow_with_the_rules(spark):
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+
+    def size(n):
+        rules = [("block", ".".join("h" * (i % 7 + 1)), "/" * (i % 50)) for i in range(n)]
+        return urls.judge(pages, spark.createDataFrame(rules, "verdict string, rule_host string, rule_path string"))._jdf.queryExecution().optimizedPlan().toString().count("sha2")
+
+    assert size(500) == size(5)
