@@ -10,15 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from comarca import served_queries
+from comarca import served_queries, table_queries
 from comarca.functions import numbers, periods, text
 from comarca.operators import aggregate, fallback, headed, joins, latest, layout, ordering, reshape, tables
 from comarca.plans import geo, serving
 from comarca.sources import delimited, files, lattice, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = dict(served_queries.QUERIES)
-ORACLES: dict[str, str] = dict(served_queries.ORACLES)
+QUERIES: dict[str, Query] = {**served_queries.QUERIES, **table_queries.QUERIES}
+ORACLES: dict[str, str] = {**served_queries.ORACLES, **table_queries.ORACLES}
 
 
 def query(sql: str | None = None):
