@@ -17,7 +17,8 @@ component take no part; only vectors of equal length are compared; rows that
 repeat an id are candidates each, but never for a query of their own id, and a
 query row repeated whole is answered once.  With fewer candidates than k, all
 are returned.  Scores are 64-bit: dimensions times the square of the greatest
-``scale * x`` must stay below 2**63.  Columns other than the two named do not
+``scale * x`` must stay below 2**63, and a block whose values could pass that
+raises ``OverflowError``.  Columns other than the two named do not
 pass through.
 """
 
@@ -119,13 +120,20 @@ class BitSlicedIndex:
         return rows[np.lexsort((self.ids[rows], -(self.vectors[rows] @ query)))]
 
 
+def _greatest(vectors: np.ndarray) -> int:
+    """Greatest magnitude, as a Python integer."""
+    return max(abs(int(vectors.min())), abs(int(vectors.max())))
+
+
 def _search(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     def run(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(candidates) and len(queries):
             index = BitSlicedIndex(candidates["id"].to_numpy(), np.stack(candidates["vector"]).astype(np.int64))
-            for query_id, mark, vector in zip(queries["id"], queries["mark"], queries["vector"]):
-                query = np.asarray(vector, np.int64)
+            asked = np.stack(queries["vector"]).astype(np.int64)
+            if index.vectors.shape[1] * _greatest(index.vectors) * _greatest(asked) >= 1 << 63:
+                raise OverflowError("scores of these vectors may not fit 64 bits: lower the scale")
+            for query_id, mark, query in zip(queries["id"], queries["mark"], asked):
                 rows = index.top(query, k, query_id)
                 found.append(pd.DataFrame({"query_id": query_id, "mark": mark, "id": index.ids[rows], "score": index.vectors[rows] @ query}))
         return pd.concat(found) if found else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "mark", "id", "score")})

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from comarca.llm import topk
@@ -52,3 +53,30 @@ def test_score_slices_are_scores_plus_a_constant():
     query = rng.integers(-50, 50, 9)
     total = sum(np.unpackbits(s.view(np.uint8), bitorder="little")[:100].astype(np.int64) << i for i, s in enumerate(index.score_slices(query)))
     assert len(set((total - vectors @ query).tolist())) == 1
+
+
+def test_repeated_ids_and_rows(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (3, [2.0, 1.0]), (3, [2.0, 1.0]), (3, [-1.0, 1.0]), (7, [0.5, 9.0]), (50, [0.0, 1.0]), (50, [0.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"id": F.lit("x"), "score": F.lit(None).cast("string")})
+    scaled = [(i, [256 * int(x * 2) // 2 for x in v]) for i, v in rows]
+
+    def best(query_id, query):  # rows that repeat an id count each; none of the query's own id
+        return sorted((-sum(a * b for a, b in zip(query, v)), i) for i, v in scaled if i != query_id)[:3]
+
+    for options in ({}, {"candidate_rows": 2, "query_rows": 1}):
+        got = {}
+        for r in topk.top_k(df, F.col("vec_id") % 50 == 0, k=3, **options).collect():
+            got.setdefault(r.query_id, []).append((r.rank, -r.score, r.id))
+        assert sorted(got[0]) == [(n, *b) for n, b in enumerate(best(0, [256, 0]), 1)]  # a query repeated whole: once
+        both = [(n, *b) for q in ([0, 256], [0, -256]) for n, b in enumerate(best(50, q), 1)]
+        assert sorted(got[50]) == sorted(both)  # one id, two vectors: two answers
+
+
+def test_extreme_magnitudes(spark):
+    big = float(1 << 52)
+    rows = [(0, [1.0]), (1, [big]), (2, [-big]), (3, [big - 1]), (4, [0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert run(df, scale=1.0) == {0: [(1, 1, 1 << 52), (2, 3, (1 << 52) - 1), (3, 4, 0), (4, 2, -(1 << 52))]}
+    over = spark.createDataFrame([(0, [big]), (1, [big])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="OverflowError"):
+        run(over)
