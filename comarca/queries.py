@@ -371,7 +371,9 @@ def padded_code(spark, sf):
     return _t(spark, sf, "nation").select("n_nationkey", numbers.padded_code(F.col("n_nationkey")).alias("code"))
 
 
-@query()
+@query(r"""
+SELECT p_partkey, array_to_string([CASE WHEN i > 1 AND regexp_matches(t[i - 1], '\p{L}') THEN lower(t[i]) ELSE upper(t[i]) END FOR i IN range(1, len(t) + 1)], '') AS title
+FROM (SELECT p_partkey, p_type || ' d.c. (a-b)' AS t FROM part)""")
 def slug_title(spark, sf):
     return _t(spark, sf, "part").select("p_partkey", text.title_case(F.concat(F.col("p_type"), F.lit(" d.c. (a-b)"))).alias("title"))
 
