@@ -8,6 +8,7 @@ task in order, a batch at a time, so a page of any size takes bounded memory.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -167,8 +168,9 @@ def section_bounds(lines: DataFrame, page: Sequence[str], header: str, below: fl
 
     A section begins ``below`` under its header and ends above the next one of
     the page; the page's last ends with its last word.  Pages without the header have none.
+    Words are dealt by page once, for their lines and for the sections.
     """
-    firsts = lines.groupBy(*page, "line").agg(F.min("top").alias("top"), F.min(F.struct("x0", "text")).alias("_f"), F.max("top").alias("_low"))
+    firsts = lines.repartition(*page).groupBy(*page, "line").agg(F.min("top").alias("top"), F.min(F.struct("x0", "text")).alias("_f"), F.max("top").alias("_low"))
     per = Window.partitionBy(*page)
     heads = firsts.withColumn("_end", F.max("_low").over(per)).where(F.col("_f.text").startswith(header))
     order = per.orderBy("top", "line")
@@ -177,8 +179,22 @@ def section_bounds(lines: DataFrame, page: Sequence[str], header: str, below: fl
 
 
 def words_in_sections(words: DataFrame, bounds: DataFrame, page: Sequence[str], slack: float = 8.0) -> DataFrame:
-    """Words with the ``section`` whose y window, ``slack`` longer at its foot, holds them; some in two."""
-    from .joins import interval_join
+    """Words with the ``section`` whose y window, ``slack`` longer at its foot, holds them; some in two.
 
-    windows = bounds.select(*page, "section", "y_min", (F.col("y_max") + slack).alias("y_end"))
-    return interval_join(words, windows, page, "top", "y_min", "y_end", width=50.0).select(*words.columns, "section")
+    ``bounds`` are those of :func:`section_bounds`: on a page both ends rise
+    with the section, so the sections that hold a word are a run, from the one
+    after the last that has ended to the last that has begun.  Words and ends
+    are dealt once, by page, whatever the height of a section.
+    """
+    there = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in page))
+    whole = bounds.where(there & F.col("y_min").isNotNull() & F.col("y_max").isNotNull())
+    no = F.lit(None).cast("int")
+    # at the same height: a section begins, a word stands, a section ends
+    begins = whole.select(*page, F.col("y_min").alias("_at"), F.lit(0).alias("_turn"), F.col("section").alias("_begun"), no.alias("_ended"))
+    ends = whole.select(*page, (F.col("y_max") + slack).alias("_at"), F.lit(2).alias("_turn"), no.alias("_begun"), F.col("section").alias("_ended"))
+    placed = words.where(there & F.col("top").isNotNull()).select(*words.columns, F.col("top").alias("_at"), F.lit(1).alias("_turn"), no.alias("_begun"), no.alias("_ended"))
+    marks = placed.unionByName(begins, allowMissingColumns=True).unionByName(ends, allowMissingColumns=True)
+    so_far = Window.partitionBy(*page).orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = marks.select("*", F.max("_begun").over(so_far).alias("_last"), (F.coalesce(F.max("_ended").over(so_far), F.min("_begun").over(so_far) - 1) + 1).alias("_first"))
+    held = run.where((F.col("_turn") == 1) & (F.col("_first") <= F.col("_last")))
+    return held.select(*words.columns, F.explode(F.sequence("_first", "_last")).alias("section"))

@@ -54,6 +54,19 @@ def test_sections_and_windows(spark):
     assert [r.first for r in layout.entity_lines(lines, ["page"], 3.0, 2, 4).collect()] == ["Tabla", "not first"]
 
 
+def test_high_sections_stay_one_row_a_word(spark):
+    """Sections of any height, words on their ends, places and pages that are null; one section is 10**12 high."""
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, 1, 2]), None if rnd.random() < 0.05 else float(rnd.randrange(90)), rnd.choice(["Tabla", "x", "y"]), i) for i in range(400)]
+    rows += [(3, 0.0, "Tabla", 400), (3, 5e11, "x", 401), (3, 1e12, "y", 402)]
+    lines = spark.createDataFrame([(p, t, w, i, i, 0.0) for p, t, w, i in rows], "page int, top double, text string, id int, line int, x0 double")
+    for below, slack in ((1.0, 8.0), (1.0, 0.0), (0.5, 30.0), (4.0, 2.0)):
+        bounds = layout.section_bounds(lines, ["page"], "Tabla", below)
+        want = sorted((i, b.section) for b in bounds.collect() for p, t, _, i in rows if None not in (p, t, b.y_min, b.y_max) and p == b.page and b.y_min <= t <= b.y_max + slack)
+        got = layout.words_in_sections(lines, bounds, ["page"], slack)
+        assert got.columns == [*lines.columns, "section"] and sorted((r.id, r.section) for r in got.collect()) == want and want
+
+
 def test_surplus_words_extend_the_name(spark):
     def cells(words):
         rows = [(1, 0, x, t) for x, t in words]
