@@ -90,17 +90,20 @@ def from_entity(lines: DataFrame, page: Sequence[str], names: Sequence[str], hea
 def column_starts(lines: DataFrame, page: Sequence[str], width: int | None = None) -> DataFrame:
     """(page, starts array): median x0 of each word place over the lines of the commonest width.
 
-    With fewer than two such lines all lines count.
+    With fewer than two such lines all lines count.  Lines are counted by width
+    and words by place, so no page's lines are gathered in one row.
     """
     placed = lines.withColumns({
         "_place": F.row_number().over(Window.partitionBy(*page, "line").orderBy("x0")),
         "_n": F.count(F.lit(1)).over(Window.partitionBy(*page, "line")),
     })
-    per_line = placed.select(*page, "line", "_n").distinct()
-    common = per_line.groupBy(*page).agg((F.lit(width) if width else F.mode("_n", True)).alias("_w"), F.collect_list("_n").alias("_all"))
-    common = common.withColumn("_exact", F.size(F.filter("_all", lambda n: n == F.col("_w"))) >= 2).drop("_all")
-    used = placed.join(common, list(page)).where(((F.col("_n") == F.col("_w")) | ~F.col("_exact")) & (F.col("_place") <= F.col("_w")))
-    medians = used.groupBy(*page, "_place").agg(F.median("x0").alias("_x"))
+    spots = placed.groupBy(*page, "_n", "_place", "x0").agg(F.count(F.lit(1)).alias("_times"))
+    widths = spots.where(F.col("_place") == 1).groupBy(*page, "_n").agg(F.sum("_times").alias("_lines"))
+    chosen = F.lit(width).cast("long") if width else -F.max(F.struct("_lines", (-F.col("_n")).alias("_less")))["_less"]
+    exact = F.sum(F.when(F.col("_n") == width, F.col("_lines"))) if width else F.max("_lines")
+    common = widths.groupBy(*page).agg(chosen.alias("_w"), (F.coalesce(exact, F.lit(0)) >= 2).alias("_exact"))
+    used = spots.join(common, list(page)).where(((F.col("_n") == F.col("_w")) | ~F.col("_exact")) & (F.col("_place") <= F.col("_w")))
+    medians = used.groupBy(*page, "_place").agg(F.percentile("x0", F.lit(0.5), F.col("_times")).alias("_x"))
     return medians.groupBy(*page).agg(F.transform(F.array_sort(F.collect_list(F.struct("_place", "_x"))), lambda s: s["_x"]).alias("starts"))
 
 

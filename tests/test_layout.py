@@ -1,7 +1,10 @@
 """Lines of words in order, sections, surplus words, extractors in turn, the report's catalogue."""
 
 import random
+import statistics
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from comarca.functions import numbers
@@ -54,6 +57,29 @@ def test_sections_and_windows(spark):
     assert [r.first for r in layout.entity_lines(lines, ["page"], 3.0, 2, 4).collect()] == ["Tabla", "not first"]
 
 
+def test_column_starts_gather_no_page(spark):
+    """Commonest widths, ties, a fixed width, places without x, against plain medians; no aggregate collects lines."""
+    rnd = random.Random(6)
+    rows = [(page, line, rnd.choice([None, -0.0, float(rnd.randrange(-40, 40)), rnd.uniform(-1e3, 1e3)])) for page in (1, 2, 3) for line in range(60 if page < 3 else 3) for _ in range(1 + line % 4 if page < 3 else line + 2)]
+    lines = spark.createDataFrame(rows, "page int, line int, x0 double")
+    for width in (None, 2, 3, 7):
+        want = {}
+        for page in (1, 2, 3):
+            words = {}
+            for p, line, x in rows:
+                if p == page:
+                    words.setdefault(line, []).append(x)
+            sizes = Counter(map(len, words.values()))
+            w = width or min(sizes, key=lambda n: (-sizes[n], n))
+            used = [sorted(xs, key=lambda x: (x is not None, x or 0.0)) for xs in words.values() if len(xs) == w or sizes[w] < 2]
+            columns = [[xs[i] for xs in used if i < len(xs)] for i in range(w)]
+            want[page] = [statistics.median(kept) if (kept := [x for x in xs if x is not None]) else None for xs in columns if xs]
+        got = {r.page: r.starts for r in layout.column_starts(lines, ["page"], width).collect()}
+        assert set(got) == set(want) and all(g == pytest.approx(w_, abs=1e-12) for p in got for g, w_ in zip(got[p], want[p], strict=True))
+    starts = layout.column_starts(lines, ["page"])
+    assert "collect_list(_n" not in starts._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_high_sections_stay_one_row_a_word(spark):
     """Sections of any height, words on their ends, places and pages that are null; one section is 10**12 high."""
     rnd = random.Random(5)
