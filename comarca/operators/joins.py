@@ -77,15 +77,41 @@ def mapped_or_self(value: Column, table: Mapping) -> Column:
     return F.coalesce(mapped(value, table), value)
 
 
-def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], value: str, low: str, high: str, width: float) -> DataFrame:
+def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], value: str, low: str, high: str, width: float, side: int = 4096) -> DataFrame:
     """Points with every interval of their keys that holds their value, both ends included.
 
-    An equi-join on the keys and bins of ``width``: an interval goes to each
-    bin it touches, a point to its own, so only near ones meet.  Choose a width
-    about as long as an interval.  Null values and ends match nothing.
+    An equi-join on the keys and bins.  An interval goes to the bins of its
+    level, of ``width`` times the power of two that its length is nearest above,
+    three at most, and a point to its bin of each level in use; so a long
+    interval costs no more rows than a short one.  A bin with more than ``side``
+    points or intervals is a grid of cells of about ``side`` by ``side``: each
+    row is in one part of its own side and in all parts of the other, so a full
+    bin is the work of many tasks, and what a task holds at once is one cell's
+    intervals.  Equal rows are in one part.  Null values and ends match nothing.
     """
-    bin_of = lambda c: F.floor(F.col(c) / F.lit(width)).cast("long")
-    whole = intervals.where(F.col(low) <= F.col(high))
-    binned = whole.withColumn("_bin", F.explode(F.sequence(bin_of(low), bin_of(high))))
-    met = points.withColumn("_bin", bin_of(value)).join(binned, [*keys, "_bin"])
-    return met.where(F.col(value).between(F.col(low), F.col(high))).drop("_bin")
+    number = lambda c: F.col(c).cast("double")
+    bin_of = lambda c: F.floor(number(c) / (F.lit(float(width)) * F.pow(F.lit(2.0), "_level"))).cast("long")
+    # lengths without end are of a level whose bins have none
+    level = F.least(F.greatest(F.floor(F.log2((number(high) - number(low)) / F.lit(float(width)))).cast("double"), F.lit(0.0)), F.lit(2000.0)).cast("int")
+    whole = intervals.where(F.col(low) <= F.col(high)).withColumn("_level", F.coalesce(level, F.lit(0)))
+    reach = F.broadcast(whole.agg(F.min(low).alias("_least"), F.max(high).alias("_most"), F.collect_set("_level").alias("_levels")))
+    near = points.join(reach, F.col(value).between(F.col("_least"), F.col("_most"))).select(*points.columns, F.explode("_levels").alias("_level"))
+
+    at = [*keys, "_level", "_bin"]
+    near = near.withColumn("_bin", bin_of(value))
+    whole = whole.withColumn("_bin", F.explode(F.sequence(bin_of(low), bin_of(high))))
+    parts = lambda df, name: df.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / side).cast("int").alias(name)).where(F.col(name) > 1)
+    full = [parts(near, "_rows"), parts(whole, "_spans")]
+
+    def celled(df: DataFrame, columns: Sequence[str], own: str, other: str) -> DataFrame:
+        for some in full:
+            df = df.join(some, at, "left")
+        mine = F.pmod(F.xxhash64(*columns), F.coalesce(own, F.lit(1))).cast("int")
+        return df.withColumns({f"{own}_part": mine, f"{other}_part": F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))}).drop("_rows", "_spans")
+
+    near, whole = celled(near, points.columns, "_rows", "_spans"), celled(whole, intervals.columns, "_spans", "_rows")
+    cell = [*at, "_rows_part", "_spans_part"]
+    # a task's work is its pairs, which the bytes it reads do not tell: the number of tasks is fixed
+    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = near.repartition(n, *cell).join(whole.repartition(n, *cell).hint("merge"), cell)
+    return met.where(F.col(value).between(F.col(low), F.col(high))).drop(*cell[len(keys):])

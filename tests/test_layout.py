@@ -116,6 +116,28 @@ def test_interval_join_equals_all_pairs(spark):
     assert set(found) == want and len(found) == len(want)
 
 
+def test_interval_join_of_full_bins_and_any_length(spark):
+    """Bins far over a cell's side, equal rows, lengths from 0 to infinity, against all pairs."""
+    rnd = random.Random(9)
+    inf = float("inf")
+    points = [(i // 2, rnd.choice([None, 0, 0, 1]), rnd.choice([None, inf, -inf, 1e300, -7e11, *(rnd.uniform(-90, 90) for _ in range(9))])) for i in range(300)]
+    spans = []
+    for i in range(200):
+        lo = rnd.choice([-inf, -1e300, -8e11, float(rnd.randrange(-90, 90))]) if i % 4 == 0 else rnd.uniform(-10, 10)
+        spans.append((i // 2, rnd.choice([None, 0, 0, 1]), lo, lo + rnd.choice([0.0, 3.0, 10.0, 77.0, 1e12, 1.5e300, inf]) if lo > -inf else rnd.choice([-inf, 0.0, inf])))
+    args = spark.createDataFrame(points, "p int, k int, v double"), spark.createDataFrame(spans, "s int, k int, lo double, hi double")
+    want = Counter((p, s, v, lo, hi) for p, k, v in points for s, j, lo, hi in spans if v is not None and k is not None and k == j and lo <= v <= hi)
+    for side in (8, 100_000):
+        got = joins.interval_join(*args, ["k"], "v", "lo", "hi", 10.0, side)
+        assert Counter((r.p, r.s, r.v, r.lo, r.hi) for r in got.collect()) == want and got.columns == ["k", "p", "v", "s", "lo", "hi"]
+
+
+def test_long_intervals_stay_three_rows(spark):
+    points = spark.createDataFrame([(1, 0, 5e11), (2, 0, 2e12)], "p int, k int, v double")
+    spans = spark.createDataFrame([(1, 0, 0.0, 1e12), (2, 0, 5e11, 5e11)], "s int, k int, lo double, hi double")
+    assert sorted((r.p, r.s) for r in joins.interval_join(points, spans, ["k"], "v", "lo", "hi", 10.0).collect()) == [(1, 1), (1, 2)]
+
+
 def test_extractors_in_turn(spark):
     units = spark.createDataFrame([("a",), ("b",), ("c",)], "doc string")
     seen = {}
