@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from .aggregate import grouped_medians
+
 
 def anchored_groups(values: Column, tolerance: float) -> Column:
     """Group number of each of sorted values: a new group starts when a value
@@ -98,12 +100,13 @@ def column_starts(lines: DataFrame, page: Sequence[str], width: int | None = Non
         "_n": F.count(F.lit(1)).over(Window.partitionBy(*page, "line")),
     })
     spots = placed.groupBy(*page, "_n", "_place", "x0").agg(F.count(F.lit(1)).alias("_times"))
-    widths = spots.where(F.col("_place") == 1).groupBy(*page, "_n").agg(F.sum("_times").alias("_lines"))
+    # no filter on the spots, which would make them anew
+    widths = spots.groupBy(*page, "_n").agg(F.sum(F.when(F.col("_place") == 1, F.col("_times"))).alias("_lines"))
     chosen = F.lit(width).cast("long") if width else -F.max(F.struct("_lines", (-F.col("_n")).alias("_less")))["_less"]
     exact = F.sum(F.when(F.col("_n") == width, F.col("_lines"))) if width else F.max("_lines")
     common = widths.groupBy(*page).agg(chosen.alias("_w"), (F.coalesce(exact, F.lit(0)) >= 2).alias("_exact"))
     used = spots.join(common, list(page)).where(((F.col("_n") == F.col("_w")) | ~F.col("_exact")) & (F.col("_place") <= F.col("_w")))
-    medians = used.groupBy(*page, "_place").agg(F.percentile("x0", F.lit(0.5), F.col("_times")).alias("_x"))
+    medians = grouped_medians(used, [*page, "_place"], "x0", "_times", "_x")
     return medians.groupBy(*page).agg(F.transform(F.array_sort(F.collect_list(F.struct("_place", "_x"))), lambda s: s["_x"]).alias("starts"))
 
 

@@ -131,7 +131,8 @@ def peer_mean(spark, sf):
 
 @query("SELECT o_orderstatus, median(o_totalprice) AS middle FROM orders GROUP BY 1")
 def median_by_group(spark, sf):
-    return _t(spark, sf, "orders").groupBy("o_orderstatus").agg(aggregate.median_of(F.col("o_totalprice")).alias("middle"))
+    counted = _t(spark, sf, "orders").groupBy("o_orderstatus", "o_totalprice").agg(F.count(F.lit(1)).alias("n"))
+    return aggregate.grouped_medians(counted, ["o_orderstatus"], "o_totalprice", "n", "middle")
 
 
 @query("""

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from comarca.functions import numbers
-from comarca.operators import fallback, joins, layout
+from comarca.operators import aggregate, fallback, joins, layout
 from comarca.plans import indicators, serving
 
 
@@ -77,9 +77,23 @@ def test_column_starts_gather_no_page(spark):
         got = {r.page: r.starts for r in layout.column_starts(lines, ["page"], width).collect()}
         assert set(got) == set(want) and all(g == pytest.approx(w_, abs=1e-12) for p in got for g, w_ in zip(got[p], want[p], strict=True))
     starts = layout.column_starts(lines, ["page"])
+    assert "percentile" not in (plan := starts._jdf.queryExecution().optimizedPlan().toString()) and "median" not in plan
     assert "collect_list(_n" not in starts._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_medians_by_radix_equal_spark(spark):
+    """Doubles of all magnitudes and signs, repeated ones, a null group, groups of one, of nulls, of infinities."""
+    rnd = random.Random(7)
+    inf = float("inf")
+    odd = [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, inf, -inf, float("nan"), None, 1.0, 1.0000000000000002]
+    rows = [(g, rnd.choice([rnd.choice(odd), rnd.uniform(-1, 1) * 10.0 ** rnd.randrange(-300, 300), float(rnd.randrange(5))]), rnd.randrange(1, 4)) for g in (None, *range(40)) for _ in range(1 + (g or 0) * 2 % 37)]
+    rows += [(90, None, 1), (91, inf, 2), (91, -inf, 1), (92, float("nan"), 3), (93, 1.0, 1), (93, 2.0, 1)]
+    counted = spark.createDataFrame(rows, "g int, v double, n int")
+    each = counted.withColumn("_", F.explode(F.sequence(F.lit(1), "n"))).groupBy("g").agg(F.median("v").alias("m"))
+    got = {r.g: str(r.m) for r in aggregate.grouped_medians(counted, ["g"], "v", "n", "m").collect()}
+    assert got == {r.g: str(None if r.m is None else r.m + 0.0) for r in each.collect()} and got[90] == "None"
+
+
 def test_high_sections_stay_one_row_a_word(spark):
     """Sections of any height, words on their ends, places and pages that are null; one section is 10**12 high."""
     rnd = random.Random(5)
