@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def star(base: DataFrame, keys: Sequence[str], parts: Sequence[tuple[DataFrame | None, Mapping[str, str]]]) -> DataFrame:
@@ -77,7 +77,7 @@ def mapped_or_self(value: Column, table: Mapping) -> Column:
     return F.coalesce(mapped(value, table), value)
 
 
-def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], value: str, low: str, high: str, width: float, side: int = 4096) -> DataFrame:
+def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], value: str, low: str, high: str, width: float, side: int = 4096, block: int = 168) -> DataFrame:
     """Points with every interval of their keys that holds their value, both ends included.
 
     An equi-join on the keys and bins.  An interval goes to the bins of its
@@ -88,6 +88,12 @@ def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str],
     row is in one part of its own side and in all parts of the other, so a full
     bin is the work of many tasks, and what a task holds at once is one cell's
     intervals.  Equal rows are in one part.  Null values and ends match nothing.
+
+    The rows of a cell meet as arrays of ``block`` neighbours.  So pairs come
+    point by point over the same few intervals again, and files of them, which
+    grow with the square of full bins, stay small: an id that stays is a run,
+    ids that return are a repeat.  A block is whole groups of the eight values
+    that Parquet packs together, so that repeats are equal bytes.
     """
     number = lambda c: F.col(c).cast("double")
     bin_of = lambda c: F.floor(number(c) / (F.lit(float(width)) * F.pow(F.lit(2.0), "_level"))).cast("long")
@@ -113,5 +119,17 @@ def interval_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str],
     cell = [*at, "_rows_part", "_spans_part"]
     # a task's work is its pairs, which the bytes it reads do not tell: the number of tasks is fixed
     n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = near.repartition(n, *cell).join(whole.repartition(n, *cell).hint("merge"), cell)
-    return met.where(F.col(value).between(F.col(low), F.col(high))).drop(*cell[len(keys):])
+
+    def blocks(df: DataFrame, columns: Sequence[str], own: str, least: str, most: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*cell).orderBy(least, most))
+        rows = F.collect_list(F.struct(*(c for c in columns if c not in keys)))
+        dealt = df.repartition(n, *cell).withColumn("_block", F.floor((place - 1) / block))
+        return dealt.groupBy(*cell, "_block").agg(F.min(least).alias(f"{own}_least"), F.max(most).alias(f"{own}_most"), rows.alias(own))
+
+    near, whole = blocks(near, points.columns, "_rows", value, value), blocks(whole, intervals.columns, "_spans", low, high)
+    within = F.col(value).between(F.col("_spans_least"), F.col("_spans_most"))
+    met = near.join(whole.hint("merge"), cell).where((F.col("_rows_least") <= F.col("_spans_most")) & (F.col("_rows_most") >= F.col("_spans_least")))
+    # coalesce to as many tasks moves nothing; it parts the steps, which in one would hold all pairs of two blocks at once
+    one = met.coalesce(n).select(*keys, F.inline("_rows"), "_spans", "_spans_least", "_spans_most").where(within)
+    pairs = one.coalesce(n).select(*keys, *(c for c in points.columns if c not in keys), F.inline("_spans"))
+    return pairs.where(F.col(value).between(F.col(low), F.col(high)))

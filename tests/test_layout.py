@@ -152,6 +152,28 @@ def test_long_intervals_stay_three_rows(spark):
     assert sorted((r.p, r.s) for r in joins.interval_join(points, spans, ["k"], "v", "lo", "hi", 10.0).collect()) == [(1, 1), (1, 2)]
 
 
+def test_interval_join_in_blocks_smaller_than_cells(spark):
+    """Cells of several blocks on both sides, cut anywhere, against all pairs."""
+    rnd = random.Random(10)
+    points = [(i, i % 2, float(rnd.randrange(-30, 30))) for i in range(200)]
+    spans = [(i, i % 2, lo := float(rnd.randrange(-30, 30)), lo + rnd.choice([0.0, 4.0, 10.0])) for i in range(150)]
+    args = spark.createDataFrame(points, "p int, k int, v double"), spark.createDataFrame(spans, "s int, k int, lo double, hi double")
+    want = Counter((p, s) for p, k, v in points for s, j, lo, hi in spans if k == j and lo <= v <= hi)
+    for side, block in ((32, 5), (100_000, 8)):
+        assert Counter((r.p, r.s) for r in joins.interval_join(*args, ["k"], "v", "lo", "hi", 10.0, side, block).collect()) == want
+
+
+def test_pairs_of_full_bins_take_little_disk(spark, tmp_path):
+    """Files of pairs grow with the square of a full bin: well under a byte a pair."""
+    points = spark.range(1000).select((F.col("id") * 7919).alias("p"), F.lit(0).alias("k"), (F.col("id") % 20 * 5 + 0.5).alias("v"))
+    spans = spark.range(3000).select((F.col("id") * 104729).alias("s"), F.lit(0).alias("k"), (F.col("id") * 37 % 1000 / 10).alias("lo")).withColumn("hi", F.col("lo") + 100)
+    out = str(tmp_path / "pairs")
+    joins.interval_join(points, spans, ["k"], "v", "lo", "hi", 100.0).select("p", "s").write.parquet(out)
+    want = sum(1 for i in range(1000) for j in range(3000) if j * 37 % 1000 / 10 <= i % 20 * 5 + 0.5)
+    assert spark.read.parquet(out).distinct().count() == spark.read.parquet(out).count() == want
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < want / 3
+
+
 def test_extractors_in_turn(spark):
     units = spark.createDataFrame([("a",), ("b",), ("c",)], "doc string")
     seen = {}
